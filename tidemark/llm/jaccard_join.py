@@ -10,6 +10,9 @@ class: sets that share a signature are chained in an order dealt by hash, a link
 pairs; then, only where a signature still joins several components, every set outside the signature's largest component
 is compared with all sets of the others. Pairs inside one component need no comparison.
 
+Before shingles are fetched, pairs are screened by 1,024 parity bits of each set: two sets' bits differ in no more places
+than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar.
+
 Shingles are 64-bit hashes of words, sets are told apart by 128 bits.
 """
 
@@ -100,6 +103,21 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(_mix(u + _GOLD).sum(dtype=np.uint64).astype(np.int64)), int(_mix(u * _M2 + _M1).sum(dtype=np.uint64).astype(np.int64))
 
 
+_LANES = 16
+_SKETCH = [f"k{i}" for i in range(_LANES)]
+
+
+def _parities(s: np.ndarray) -> np.ndarray:
+    cells = (_mix(s.view(np.uint64) ^ _M2) >> np.uint64(54)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=64 * _LANES) & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _may_be_similar(a: str, b: str, num: int, den: int):
+    """Condition on the parity bits and sizes of two joined sketches."""
+    apart = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
+    return F.lit(den + num) * apart <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 class PartEnum:
     """Signatures for Jaccard similarity num / den. Bands: sizes whose least and largest could still be similar."""
 
@@ -166,9 +184,13 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
                 part = batch.iloc[lo : lo + 1000]
                 sets = shingle_sets([t if isinstance(t, str) else None for t in part["text"]], width)
                 digests = [_digest(s) for s in sets]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
+                out = pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
+                if sign:
+                    out[_SKETCH] = np.array([_parities(s) for s in sets])
+                yield out
 
-    return rows.mapInPandas(run, f"doc_id long, n long, d1 long, d2 long, text_key long, {column} array<long>")
+    lanes = "".join(f", {k} long" for k in _SKETCH) if sign else ""
+    return rows.mapInPandas(run, f"doc_id long, n long, d1 long, d2 long, text_key long, {column} array<long>{lanes}")
 
 
 def _slots(key: np.ndarray, size: int) -> np.ndarray:
@@ -222,19 +244,24 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     signed = documents.sparkSession.read.parquet(signed_path)
     some = signed.where("n > 0")
     sets = scratch.keep(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.min("row").alias("rid")))
-    own = some.select("row", "sigs").join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
+    firsts = some.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
+    own, sketches = firsts.select("row", "sigs"), scratch.keep(firsts.select(F.col("row").alias("rid"), "n", *_SKETCH))
     shown = own.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
     order = Window.partitionBy("sig").orderBy(F.xxhash64("sig", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
     shared = scratch.keep(chained.where("prev is not null or next is not null").select("sig", "rid", "prev"))
     pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
-    comp = scratch.keep(components(_verified(pairs, sets, rows, width, num, den, scratch), scratch))
+    near = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid"))
+    near = near.where(_may_be_similar("x", "y", num, den)).select("a", "b")
+    comp = scratch.keep(components(_verified(near, sets, rows, width, num, den, scratch), scratch))
     tagged = shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp"))
     sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
     main = scratch.keep(sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main")))
-    mixed = scratch.keep(tagged.join(main, "sig"))
-    few = mixed.where("comp <> main").select("sig", F.col("rid").alias("x"), F.col("comp").alias("cx"))
-    cross = few.join(mixed.select("sig", F.col("rid").alias("y"), F.col("comp").alias("cy")), "sig").where("cx <> cy")
+    mixed = tagged.join(main, "sig")
+    mixed = scratch.keep(mixed.join(sketches, "rid"))
+    few = mixed.where("comp <> main")
+    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den)
+    cross = few.alias("x").join(mixed.alias("y"), meet).select(F.col("x.rid").alias("x"), F.col("y.rid").alias("y"))
     cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
