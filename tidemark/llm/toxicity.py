@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_STEMS = (4, 5, 7)
+_STEMS = (5, 7)
 
 
 def _words(text: str | None) -> list[bytes]:
