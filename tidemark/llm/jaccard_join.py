@@ -112,24 +112,30 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * _LANES) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _apart(a: str, b: str):
+    return sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
+
+
 def _may_be_similar(a: str, b: str, num: int, den: int):
     """Condition on the parity bits and sizes of two joined sketches."""
-    apart = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
-    return F.lit(den + num) * apart <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    return F.lit(den + num) * _apart(a, b) <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
 class PartEnum:
-    """Signatures for Jaccard similarity num / den. Bands: sizes whose least and largest could still be similar."""
+    """Signatures for Jaccard similarity num / den. Sizes fall into bands whose tops grow by ``growth``; a similar pair lies in
+    one band or in two that touch, so a set signs for its own band, and for the next if a partner could lie there."""
 
-    def __init__(self, num: int, den: int, parts: int = 3, spared: int = 1) -> None:
-        self.num, self.den, self.parts, self.spared = num, den, parts, spared
+    def __init__(self, num: int, den: int, parts: int = 2, spared: int = 1, growth: float = 1.75) -> None:
+        if growth * num < den:
+            raise ValueError("bands must be wider than similar sets' sizes can differ")
+        self.num, self.den, self.parts, self.spared, self.growth = num, den, parts, spared, growth
         self.subsets = list(itertools.combinations(range(parts), parts - spared))
         self.tops = [1]
 
     def band(self, size: int) -> int:
         while self.tops[-1] < size:
             low = self.tops[-1] + 1
-            self.tops.append(max(low, low * self.den // self.num))
+            self.tops.append(max(low, low * self.den // self.num, int(low * self.growth)))
         return int(np.searchsorted(self.tops, size))
 
     def groups(self, band: int) -> tuple[int, int]:
@@ -144,7 +150,8 @@ class PartEnum:
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         band = self.band(len(s))
-        # a partner lies in this band or a neighbour; pairs are tagged with the upper one
+        if len(s) * self.den // self.num <= self.tops[band]:
+            return self._of(s, band)
         return np.concatenate([self._of(s, band), self._of(s, band + 1)])
 
     def _of(self, s: np.ndarray, band: int) -> np.ndarray:
@@ -212,6 +219,12 @@ def _wanted(ids: DataFrame, size: int):
     return spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
 
 
+def _between(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs that no component holds yet."""
+    at = pairs.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
+    return at.where("ca is null or cb is null or ca <> cb").select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity. sets: rid, lo, d1, d2 of each set; lo: a document that has it."""
     pairs = scratch.keep(pairs)
@@ -230,7 +243,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, nu
     return scratch.keep(checked.where(F.lit(den).cast("long") * F.col("i") >= F.lit(num).cast("long") * (F.col("s") - F.col("i"))).select("a", "b"))
 
 
-def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 3, spared: int = 1, text_key: bool = False) -> DataFrame:
+def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 2, spared: int = 1, text_key: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents link when their sets' Jaccard similarity is at least num / den; component_id is the smallest doc_id reachable
@@ -250,10 +263,21 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     order = Window.partitionBy("sig").orderBy(F.xxhash64("sig", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
     shared = scratch.keep(chained.where("prev is not null or next is not null").select("sig", "rid", "prev"))
+    every = scratch.keep(signed.select("doc_id", "n", "d1", "d2", "text_key"))
+    scratch.drop(signed_path)
     pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
     near = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid"))
-    near = near.where(_may_be_similar("x", "y", num, den)).select("a", "b")
-    comp = scratch.keep(components(_verified(near, sets, rows, width, num, den, scratch), scratch))
+    near = scratch.keep(near.where(_may_be_similar("x", "y", num, den)).select("a", "b", _apart("x", "y").alias("apart")))
+    # each set's two nearest partners first; of the other pairs, those that still lie in different components
+    ends = near.select(F.col("a").alias("me"), "a", "b", "apart").unionAll(near.select(F.col("b").alias("me"), "a", "b", "apart"))
+    rank = F.row_number().over(Window.partitionBy("me").orderBy("apart", F.xxhash64("a", "b")))
+    best = scratch.keep(ends.withColumn("rank", rank).where("rank <= 2").select("a", "b").distinct())
+    links = _verified(best, sets, rows, width, num, den, scratch)
+    comp = scratch.keep(components(links, scratch))
+    rest = _between(near.select("a", "b").join(best, ["a", "b"], "left_anti"), comp)
+    more = _verified(rest, sets, rows, width, num, den, scratch)
+    if not more.isEmpty():
+        comp = scratch.keep(components(links.unionAll(more), scratch))
     tagged = shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp"))
     sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
     main = scratch.keep(sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main")))
@@ -268,13 +292,12 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
         ends = more.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
         joined = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), scratch)
         alone = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(comp, "node", "left_anti")
-        every = comp.unionAll(alone.select("node", F.col("node").alias("comp")))
-        comp = scratch.keep(every.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+        named = comp.unionAll(alone.select("node", F.col("node").alias("comp")))
+        comp = scratch.keep(named.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
     named = sets.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("d1", "d2", "lo", F.coalesce("comp", "rid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("lo").alias("component_id"))
     final = scratch.keep(named.join(least, "comp").select("d1", "d2", "component_id"))
-    result = scratch.keep(signed.select("doc_id", "n", "d1", "d2", "text_key").join(final, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
-    scratch.drop(signed_path)
+    result = scratch.keep(every.join(final, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
     return result
 
 
