@@ -234,10 +234,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, nu
     if not count:
         return pairs
     size = min(_FILTER_BITS, max(1 << 16, 1 << (16 * count).bit_length()))
-    found = _as_frame(rows, width, None, _wanted(used, size)).dropDuplicates(["d1", "d2"])
-    arrays = scratch.keep(found.join(used.select("rid", "d1", "d2"), ["d1", "d2"]).select("rid", "hashes"))
-    left = pairs.join(arrays.select(F.col("rid").alias("a"), F.col("hashes").alias("ha")), "a")
-    both = left.join(arrays.select(F.col("rid").alias("b"), F.col("hashes").alias("hb")), "b")
+    # both joins read one exchange of the sets, by digest; a pair carries the digests of its ends
+    found = _as_frame(rows, width, None, _wanted(used, size)).dropDuplicates(["d1", "d2"]).select("d1", "d2", "hashes")
+    of = lambda c: used.select(F.col("rid").alias(c), F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"))
+    keyed = scratch.keep(pairs.join(of("a"), "a").join(of("b"), "b"))
+    left = keyed.join(found.withColumnsRenamed({"d1": "a1", "d2": "a2", "hashes": "ha"}), ["a1", "a2"])
+    both = left.join(found.withColumnsRenamed({"d1": "b1", "d2": "b2", "hashes": "hb"}), ["b1", "b2"])
     shared = F.size(F.array_intersect("ha", "hb"))
     checked = both.select("a", "b", shared.alias("i"), (F.size("ha") + F.size("hb")).alias("s"))
     return scratch.keep(checked.where(F.lit(den).cast("long") * F.col("i") >= F.lit(num).cast("long") * (F.col("s") - F.col("i"))).select("a", "b"))
@@ -268,10 +270,10 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
     near = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid"))
     near = scratch.keep(near.where(_may_be_similar("x", "y", num, den)).select("a", "b", _apart("x", "y").alias("apart")))
-    # each set's two nearest partners first; of the other pairs, those that still lie in different components
+    # each set's nearest partner first; of the other pairs, those that still lie in different components
     ends = near.select(F.col("a").alias("me"), "a", "b", "apart").unionAll(near.select(F.col("b").alias("me"), "a", "b", "apart"))
     rank = F.row_number().over(Window.partitionBy("me").orderBy("apart", F.xxhash64("a", "b")))
-    best = scratch.keep(ends.withColumn("rank", rank).where("rank <= 2").select("a", "b").distinct())
+    best = scratch.keep(ends.withColumn("rank", rank).where("rank = 1").select("a", "b").distinct())
     links = _verified(best, sets, rows, width, num, den, scratch)
     comp = scratch.keep(components(links, scratch))
     rest = _between(near.select("a", "b").join(best, ["a", "b"], "left_anti"), comp)
