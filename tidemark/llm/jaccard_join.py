@@ -112,13 +112,24 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * _LANES) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _apart(a: str, b: str):
-    return sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
+def _apart(a: str, b: str, lanes: list[str] = _SKETCH):
+    return sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in lanes), F.lit(0))
 
 
-def _may_be_similar(a: str, b: str, num: int, den: int):
+_FOLDED = [f"f{i}" for i in range(4)]
+
+
+def _folded(i: int):
+    """Parities of four lanes laid over each other: parities of fewer, larger cells, which screen as surely but less often."""
+    out = F.col(_SKETCH[i])
+    for k in _SKETCH[i + 4 :: 4]:
+        out = out.bitwiseXOR(F.col(k))
+    return out.alias(_FOLDED[i])
+
+
+def _may_be_similar(a: str, b: str, num: int, den: int, lanes: list[str] = _SKETCH):
     """Condition on the parity bits and sizes of two joined sketches."""
-    return F.lit(den + num) * _apart(a, b) <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    return F.lit(den + num) * _apart(a, b, lanes) <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
 class PartEnum:
@@ -284,11 +295,12 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
     main = scratch.keep(sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main")))
     mixed = tagged.join(main, "sig")
-    mixed = scratch.keep(mixed.join(sketches, "rid"))
-    few = mixed.where("comp <> main")
-    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den)
-    cross = few.alias("x").join(mixed.alias("y"), meet).select(F.col("x.rid").alias("x"), F.col("y.rid").alias("y"))
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    short = sketches.select("rid", "n", *[_folded(i) for i in range(4)])
+    mixed = scratch.keep(mixed.join(short, "rid").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"), "n", *_FOLDED))
+    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
+    cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet).select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
+    cross = cross.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid")).where(_may_be_similar("x", "y", num, den)).select("a", "b")
+    cross = cross.join(near.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         ends = more.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
