@@ -11,7 +11,8 @@ pairs; then, only where a signature still joins several components, every set ou
 is compared with all sets of the others. Pairs inside one component need no comparison.
 
 Before shingles are fetched, pairs are screened by 1,024 parity bits of each set: two sets' bits differ in no more places
-than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar.
+than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar. Large sets, whose
+bits are all mixed, are screened by counts of 1,024 cells as well.
 
 Shingles are 64-bit hashes of words, sets are told apart by 128 bits.
 """
@@ -112,6 +113,22 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * _LANES) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+_LONG = 1000
+
+
+def _histogram(s: np.ndarray) -> np.ndarray | None:
+    """Counts of a large set by 1,024 cells: two sets' counts differ in sum by no more than the sets differ in elements."""
+    if len(s) <= _LONG:
+        return None
+    cells = (_mix(s.view(np.uint64) ^ _M2) >> np.uint64(54)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=1024), 32_767).astype(np.int16)
+
+
+def _counts_allow(a: str, b: str, num: int, den: int):
+    apart = F.aggregate(F.zip_with(f"{a}.counts", f"{b}.counts", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, x: t + x)
+    return F.coalesce(F.lit(den + num) * apart <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n")), F.lit(True))
+
+
 def _apart(a: str, b: str, lanes: list[str] = _SKETCH):
     return sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in lanes), F.lit(0))
 
@@ -205,9 +222,10 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
                 out = pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
                 if sign:
                     out[_SKETCH] = np.array([_parities(s) for s in sets])
+                    out["counts"] = [_histogram(s) for s in sets]
                 yield out
 
-    lanes = "".join(f", {k} long" for k in _SKETCH) if sign else ""
+    lanes = "".join(f", {k} long" for k in _SKETCH) + ", counts array<short>" if sign else ""
     return rows.mapInPandas(run, f"doc_id long, n long, d1 long, d2 long, text_key long, {column} array<long>{lanes}")
 
 
@@ -271,7 +289,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     some = signed.where("n > 0")
     sets = scratch.keep(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.min("row").alias("rid")))
     firsts = some.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
-    own, sketches = firsts.select("row", "sigs"), scratch.keep(firsts.select(F.col("row").alias("rid"), "n", *_SKETCH))
+    own, sketches = firsts.select("row", "sigs"), scratch.keep(firsts.select(F.col("row").alias("rid"), "n", *_SKETCH, "counts"))
     shown = own.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
     order = Window.partitionBy("sig").orderBy(F.xxhash64("sig", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
@@ -280,7 +298,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     scratch.drop(signed_path)
     pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
     near = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid"))
-    near = scratch.keep(near.where(_may_be_similar("x", "y", num, den)).select("a", "b", _apart("x", "y").alias("apart")))
+    near = scratch.keep(near.where(_may_be_similar("x", "y", num, den)).where(_counts_allow("x", "y", num, den)).select("a", "b", _apart("x", "y").alias("apart")))
     # each set's nearest partner first; of the other pairs, those that still lie in different components
     ends = near.select(F.col("a").alias("me"), "a", "b", "apart").unionAll(near.select(F.col("b").alias("me"), "a", "b", "apart"))
     rank = F.row_number().over(Window.partitionBy("me").orderBy("apart", F.xxhash64("a", "b")))
@@ -299,8 +317,8 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     mixed = scratch.keep(mixed.join(short, "rid").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"), "n", *_FOLDED))
     meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
     cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet).select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
-    cross = cross.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid")).where(_may_be_similar("x", "y", num, den)).select("a", "b")
-    cross = cross.join(near.select("a", "b"), ["a", "b"], "left_anti")
+    cross = cross.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid")).where(_may_be_similar("x", "y", num, den)).where(_counts_allow("x", "y", num, den)).select("a", "b")
+    cross = cross.join(pairs, ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         ends = more.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
