@@ -46,7 +46,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, most
 def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
     """Goals proportional to natural shares to a power: below 1, small sources gain."""
     sums = cells.groupBy(name).agg(F.sum("tokens").alias("_t")).where("_t > 0").withColumn("_g", F.pow(F.col("_t"), F.lit(power)))
-    return sums.crossJoin(F.broadcast(sums.agg(F.sum("_g").alias("_all")))).select(name, (F.col("_g") / F.col("_all")).alias("goal"))
+    whole = sums.agg(F.sum("_g")).first()[0] or 1.0
+    return sums.select(name, (F.col("_g") / whole).alias("goal"))
 
 
 def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None = None, budget: float = 0.8, seed: int = 11) -> DataFrame:
