@@ -26,10 +26,15 @@ from .scratch import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _WORDS: dict[str, dict[str, bytes]] = {}
+_PARTS: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
+_ENDS: dict[str, np.ndarray] = {}
 #: Python's split() also takes these for white space; the tokenizer's pattern does not. Special strings span words.
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|startoftext\\|>|<\\|endoftext\\|>")
-_CACHED_WORDS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 700_000, 64, 256
+_SEPARATORS, _SPECIAL = "\x1c\x1d\x1e\x1f", re.compile("<\\|startoftext\\|>|<\\|endoftext\\|>")
+#: Words of these characters alone are lower-cased and cut here as the vocabulary's own rule does; others go to the library.
+_PLAIN = re.compile("[!-~À-ÿ]+")
+_CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+")
+_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 500_000, 600_000, 64, 256
 
 
 def _tokenizer(path: str):
@@ -45,6 +50,40 @@ def _ids(tokenizer, texts: list[str]) -> list[bytes]:
     return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def _ends(path: str) -> np.ndarray:
+    """For each id of the vocabulary: whether it ends a part of a word."""
+    if path not in _ENDS:
+        vocabulary = _tokenizer(path).get_vocab(with_added_tokens=True)
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        _ENDS[path] = ends
+    return _ENDS[path]
+
+
+def _word_ids(words: list[str], path: str) -> dict[str, bytes]:
+    """Each distinct word's ids. Plain words are cut into parts first: fewer differ, and new ones go to the library in one text."""
+    tokenizer, known = _tokenizer(path), _PARTS.setdefault(path, {})
+    cut = {w: _CUT.findall(w.lower()) for w in words if _PLAIN.fullmatch(w)}
+    new = list(set().union(*cut.values()).difference(known)) if cut else []
+    if len(known) + len(new) > _CACHED_PARTS:
+        known.clear()
+        new = list(set().union(*cut.values()))
+    if new:
+        ids = np.array(tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        stops = (np.flatnonzero(_ends(path)[ids]) + 1).tolist()
+        data, start = ids.tobytes(), 0
+        for part, stop in zip(new, stops, strict=True):
+            known[part] = data[4 * start : 4 * stop]
+            start = stop
+    out = {w: b"".join(map(known.__getitem__, parts)) for w, parts in cut.items()}
+    for part in new:
+        if len(part) > _LONGEST_CACHED:
+            del known[part]
+    other = [w for w in words if w not in out]
+    out.update(zip(other, _ids(tokenizer, other), strict=True))
+    return out
+
+
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers, exactly as the library gives them.
 
@@ -53,7 +92,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """
     tokenizer, known = _tokenizer(path), _WORDS.setdefault(path, {})
     out: list[bytes] = [b""] * len(texts)
-    whole = [i for i, t in enumerate(texts) if _WHOLE.search(t)]
+    whole = [i for i, t in enumerate(texts) if any(c in t for c in _SEPARATORS) or ("<|" in t and _SPECIAL.search(t))]
     for i, ids in zip(whole, _ids(tokenizer, [texts[i] for i in whole]), strict=True):
         out[i] = ids
     skip = set(whole)
@@ -62,7 +101,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     if len(known) + len(new) > _CACHED_WORDS:
         known.clear()
         new = list(set().union(*(w for _, w in split)))
-    known.update(zip(new, _ids(tokenizer, new), strict=True))
+    known.update(_word_ids(new, path))
     for i, words in split:
         out[i] = b"".join(map(known.__getitem__, words))
     for w in new:
