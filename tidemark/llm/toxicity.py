@@ -1,16 +1,17 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-Examples are a bounded sample of labelled rows, so the index has a proven size and is sent to every task. Features are words
-and word beginnings, of which the sample's most telling ones stay (chi-square); idf comes from the sample, too. Postings
-lie in blocks of examples, and each term has its largest weight in every block. A query's blocks are visited by their
-upper bounds until no block can hold a nearer example, so the k nearest are exact. Their votes, weighted by cosine and
+Examples are a bounded sample of labelled rows, so the index has a proven size and is sent to every task. Features are all
+words and word beginnings of the sample, none dropped: each has its idf over all documents, raised by 1 + chi-square where
+toxic examples have it more often. Norms are those of whole examples. Postings lie in blocks of examples, and each common term
+has its largest weight in every block; rare ones are summed up first. Blocks are visited by their upper bounds, and left
+out for texts that can have no nearer example there, so the k nearest are exact. Their votes, weighted by cosine and
 class, are turned into probabilities by an isotonic curve fitted on the examples, each held out in turn.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
+_BATCH = 128
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -38,67 +40,111 @@ def text_terms(text: str | None) -> dict[bytes, int]:
 
 
 class ToxicIndex:
-    """Exact k nearest examples. terms: idf by term; rows: (example id, label, counts of known terms)."""
+    """Exact k nearest examples. terms: weight by term, or numbers by term and weights; rows: (example id, label, counts of
+    terms, or their numbers and counts)."""
 
-    def __init__(self, terms: dict[bytes, float], examples: list[tuple[int, int, dict[bytes, int]]], class_rows: tuple[float, float], k: int = 15, block: int = 64) -> None:
-        self.terms, self.k, self.block = terms, k, block
-        self.number = {t: i for i, t in enumerate(sorted(terms))}
-        self.idf = np.array([terms[t] for t in sorted(terms)])
-        kept = sorted((x for x in examples if any(t in terms for t in x[2])), key=lambda x: x[0])
-        self.ids = [x[0] for x in kept]
-        self.labels = np.array([x[1] for x in kept], float)
+    def __init__(self, terms: dict[bytes, float] | tuple[dict[bytes, int], np.ndarray], examples: list[tuple[int, int, dict[bytes, int] | tuple[np.ndarray, np.ndarray]]], class_rows: tuple[float, float], k: int = 15, block: int = 64) -> None:
+        self.k, self.block = k, block
+        self.number, self.idf = terms if isinstance(terms, tuple) else ({t: i for i, t in enumerate(sorted(terms))}, np.array([terms[t] for t in sorted(terms)]))
         own = [sum(1 for x in examples if x[1] == c) for c in (0, 1)]
         self.scale = np.array([class_rows[c] / own[c] if own[c] else 0.0 for c in (0, 1)])
-        blank = [(1 - x[1]) * self.scale[0] + x[1] * self.scale[1] for x in examples if not any(t in terms for t in x[2])]
-        bad = [self.scale[1] for x in examples if x[1] and not any(t in terms for t in x[2])]
+        rows = [(i, y, *self._numbered(counts)) for i, y, counts in sorted(examples, key=lambda x: x[0])]
+        kept = [x for x in rows if len(x[2])]
+        self.ids = [x[0] for x in kept]
+        self.labels = np.array([x[1] for x in kept], float)
+        blank = [self.scale[x[1]] for x in rows if not len(x[2])]
+        bad = [self.scale[1] for x in rows if x[1] and not len(x[2])]
         self.rest = (sum(bad) + 0.5 * self.scale[1]) / (sum(blank) + max(1.0, self.scale.sum())) if blank else 0.5
         self.rest = min(self.rest, 0.5)
-        n_blocks = max(1, -(-len(kept) // block))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        self.most = np.zeros((len(terms), n_blocks))
-        for i, (_, _, counts) in enumerate(kept):
-            for t, w in zip(*self.vector(counts), strict=True):
-                postings.setdefault((int(t), i // block), []).append((i, float(w)))
-                self.most[t, i // block] = max(self.most[t, i // block], w)
-        self.postings = {key: (np.array([p[0] for p in v]), np.array([p[1] for p in v])) for key, v in postings.items()}
+        self._post(kept)
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        votes = [self.vote(counts, leave=i) for i, (_, _, counts) in enumerate(kept)]
+        votes = [self._vote(near) for s in range(0, len(kept), _BATCH) for near in self._search([self.vector(x[2:]) for x in kept[s : s + _BATCH]], range(s, s + _BATCH))]
         self._calibrate(np.array([v for v, _ in votes]))
 
-    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(sorted(self.number[t] for t in counts if t in self.number), dtype=np.int64)
-        if not len(at):
-            return at, np.zeros(0)
-        names = {self.number[t]: c for t, c in counts.items() if t in self.number}
-        w = np.array([1 + np.log(names[i]) for i in at.tolist()]) * self.idf[at]
-        return at, w / np.sqrt((w * w).sum())
-
-    def nearest(self, counts: dict[bytes, int], leave: int = -1) -> list[tuple[float, int]]:
-        """(cosine, example) of the k nearest with a positive cosine, nearest first, equals by example."""
-        at, w = self.vector(counts)
-        if not len(at) or not self.ids:
-            return []
-        bound = w @ self.most[at]
-        found: list[tuple[float, int]] = []
-        for blk in np.argsort(-bound, kind="stable").tolist():
-            if bound[blk] <= 0 or (len(found) >= self.k and bound[blk] < found[self.k - 1][0] - 1e-12):
-                break
-            score = np.zeros(self.block)
-            for t, q in zip(at.tolist(), w.tolist(), strict=True):
-                if (p := self.postings.get((t, blk))) is not None:
-                    score[p[0] - blk * self.block] += q * p[1]
-            hits = np.flatnonzero(score > 0)
-            found += [(float(score[i]), int(i) + blk * self.block) for i in hits if i + blk * self.block != leave]
-            found = sorted(found, key=lambda x: (-round(x[0], 12), x[1]))[: self.k]
+    def _post(self, kept: list) -> None:
+        """Postings by term. Those of common terms are rows of a matrix, with their largest weight in each block."""
+        self.n_blocks = max(1, -(-len(kept) // self.block))
+        none = [np.zeros(0, np.int32)]
+        term, tf = (np.concatenate([x[j] for x in kept] or none) for j in (2, 3))
+        self.log = 1 + np.log(np.maximum(np.arange(tf.max(initial=1) + 1), 1))
+        tf = tf.astype(np.min_scalar_type(int(tf.max(initial=1))))
+        self.norm = np.ones(self.n_blocks * self.block)
+        self.norm[: len(kept)] = [np.sqrt((self._weights(*x[2:]) ** 2).sum()) for x in kept]
+        example = np.repeat(np.arange(len(kept), dtype=np.min_scalar_type(len(kept))), [len(x[2]) for x in kept])
+        n = np.bincount(term, minlength=len(self.number))
+        common = np.flatnonzero(n > max(8, len(kept) // 16))
+        self.row = np.full(len(self.number), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n_blocks * self.block))
+        often = self.row[term] >= 0
+        self.dense[self.row[term[often]], example[often]] = self._weights(term[often], tf[often]) / self.norm[example[often]]
+        self.most = self.dense.reshape(len(common), self.n_blocks, self.block).max(axis=2)
+        order = np.argsort(term[~often], kind="stable")
+        self.example, self.tf = example[~often][order], tf[~often][order]
+        self.start = np.concatenate([[0], np.cumsum(np.where(self.row >= 0, 0, n))])
+
+    def _weights(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        return (1 + np.log(tf, dtype=float)) * self.idf[at]
+
+    def _numbered(self, counts: dict[bytes, int] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        if not isinstance(counts, dict):
+            return counts
+        known = sorted((self.number[t], c) for t, c in counts.items() if t in self.number)
+        return np.array([x[0] for x in known], np.int32), np.array([x[1] for x in known], np.int32)
+
+    def vector(self, counts: dict[bytes, int] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and unit weights of the terms. Terms that no example has change all cosines of a text by one factor only,
+        which neither order nor votes depend on."""
+        at, tf = self._numbered(counts)
+        w = self._weights(at, tf) if len(at) else np.zeros(0)
+        return at, w / np.sqrt((w * w).sum()) if len(at) else w
+
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], leave: Iterable[int] = ()) -> list[list[tuple[float, int]]]:
+        """Of each query, (cosine, example) of the k nearest with a positive cosine, nearest first, equals by example."""
+        width = self.n_blocks * self.block
+        score = np.zeros((len(queries), width))
+        often = np.zeros((len(queries), len(self.dense)))
+        for q, (at, w) in enumerate(queries):
+            row = self.row[at]
+            often[q, row[row >= 0]] = w[row >= 0]
+            rare, own = at[row < 0], w[row < 0]
+            n = self.start[rare + 1] - self.start[rare]
+            if total := int(n.sum()):
+                pick = np.repeat(self.start[rare] - np.cumsum(n) + n, n) + np.arange(total)
+                score[q] = np.bincount(self.example[pick], self.log[self.tf[pick]] * np.repeat(own * self.idf[rare], n), width) / self.norm
+        # rare terms are summed up; what common ones can add in a block is bounded by their largest weights there
+        bound = often @ self.most + score.reshape(len(queries), self.n_blocks, self.block).max(axis=2)
+        done, left = np.full((len(queries), width), -1.0), dict(enumerate(leave))
+        least = np.zeros(len(queries))
+        turn = np.argsort(-bound.max(axis=0), kind="stable")
+        for i, blk in enumerate(turn.tolist()):
+            here = slice(blk * self.block, (blk + 1) * self.block)
+            if len(q := np.flatnonzero((bound[:, blk] > 0) & (bound[:, blk] >= least - 1e-12))):
+                done[q, here] = score[q, here] + (often if len(q) == len(often) else often[q]) @ self.dense[:, here]
+                if i in (3, 15, 47) and width > self.k:  # one more than k, as a query's own row may be left out
+                    least = np.maximum(least, np.partition(done, width - self.k - 1, axis=1)[:, width - self.k - 1])
+        found = []
+        for q, whole in enumerate(done):
+            s = np.round(whole, 12)
+            if q in left and left[q] < width:
+                s[left[q]] = -1
+            if width > self.k:
+                top = np.flatnonzero(s >= max(np.partition(s, width - self.k)[width - self.k], 1e-12))
+            else:
+                top = np.flatnonzero(s > 0)
+            top = top[np.argsort(-s[top], kind="stable")][: self.k]
+            found.append(list(zip(whole[top].tolist(), top.tolist(), strict=True)))
         return found
 
-    def vote(self, counts: dict[bytes, int], leave: int = -1) -> tuple[float, list[tuple[float, int]]]:
+    def nearest(self, counts: dict[bytes, int]) -> list[tuple[float, int]]:
+        return self._search([self.vector(counts)])[0]
+
+    def _vote(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[float, int]]]:
         """Share of toxic votes, each weighted by its squared cosine and by its class's share of the corpus; -1: no vote."""
-        near = self.nearest(counts, leave)
         if not near:
             return -1.0, near
         i = [x[1] for x in near]
-        c = np.array([x[0] for x in near]) ** 2 * self.scale[self.labels[i].astype(int)]
+        c = np.round([x[0] for x in near], 12) ** 2  # repeated rows in other batches differ in the last bits * self.scale[self.labels[i].astype(int)]
         return float((c * self.labels[i]).sum() / c.sum()), near
 
     def _calibrate(self, votes: np.ndarray) -> None:
@@ -118,17 +164,14 @@ class ToxicIndex:
         ys = np.array([(p[1] + 0.02 * prior) / (p[2] + 0.04 * prior) for p in pools])
         self.curve = (xs, ys)
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        """(probability of toxic, ids of the nearest examples)."""
-        words = _words(text)
-        some = set(words)
-        stems = {w[:n] + b"*" for n in _STEMS for w in some if len(w) > n}
-        if self.number.keys().isdisjoint(some) and self.number.keys().isdisjoint(stems):
-            return self.rest, []
-        v, near = self.vote({t: c for t, c in text_terms(text).items() if t in self.number})
-        if v < 0:
-            return self.rest, []
-        return float(np.interp(v, *self.curve)), [self.ids[i] for _, i in near]
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[int]]]:
+        """(probability of toxic, ids of the nearest examples) of each text."""
+        out = []
+        for s in range(0, len(texts), _BATCH):
+            for near in self._search([self.vector(text_terms(t)) for t in texts[s : s + _BATCH]]):
+                v, _ = self._vote(near)
+                out.append((float(np.interp(v, *self.curve)) if v >= 0 else self.rest, [self.ids[i] for _, i in near]))
+        return out
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -136,7 +179,7 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
 
 
-def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 2000, most_clean: int = 2500, most_terms: int = 400, k: int = 15) -> ToxicIndex:
+def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 2000, most_clean: int = 2500, k: int = 15) -> ToxicIndex:
     """Index of at most ``most_toxic`` + ``most_clean`` labelled rows that are not held out, chosen by a hash of doc_id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").alias("_toxic"))
     totals = {int(r["_toxic"]): r["count"] for r in known.groupBy("_toxic").count().collect()}
@@ -144,40 +187,62 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 2000, m
     chosen = pick(1, most_toxic).unionAll(pick(0, most_clean))
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
 
+    from .scratch import Scratch
+
+    spark, classes = documents.sparkSession, (totals.get(0, 0), totals.get(1, 0))
+    sample = Scratch(spark).keep(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
+    n = {int(r["_toxic"]): r["count"] for r in sample.groupBy("_toxic").count().collect()}
+    if not n.get(1) or not n.get(0):
+        return ToxicIndex({}, [(int(r["_id"]), int(r["_toxic"]), {}) for r in sample.select("_id", "_toxic").collect()], classes, k)
+
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, toxic, text in zip(batch["_id"], batch["_toxic"], batch["text"], strict=True):
-                counts = text_terms(text if isinstance(text, str) else None) or {b"": 1}
-                yield pd.DataFrame({"_id": doc_id, "_toxic": toxic, "term": list(counts), "tf": list(counts.values())})
+            rows = {y: Counter(t for text, x in zip(batch["text"], batch["_toxic"], strict=True) if x == y for t in text_terms(text if isinstance(text, str) else None)) for y in (0, 1)}
+            both = list(rows[0].keys() | rows[1].keys())
+            yield pd.DataFrame({"term": both, "t": [rows[1][x] for x in both], "c": [rows[0][x] for x in both]})
 
-    from .scratch import Scratch
+    seen = sample.mapInPandas(counted, "term binary, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toPandas()
+    seen = seen.sort_values("term", ignore_index=True)
+    t, c, total = seen["t"].to_numpy(float), seen["c"].to_numpy(float), float(n[0] + n[1])
+    # the 2 x 2 table's chi-square, of terms that toxic rows have more often; it adds weight and drops no term
+    diff = np.maximum(t * (n[0] - c) - c * (n[1] - t), 0)
+    chi = total * diff * diff / np.maximum(float(n[0]) * n[1] * (t + c) * (total - t - c), 1)
+    numbers = {bytes(x): i for i, x in enumerate(seen.pop("term"))}
+    number = spark.sparkContext.broadcast(numbers)
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, rows = number.value, 0
+        often = np.zeros(len(known), np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                rows += 1
+                at = [i for x in text_terms(text if isinstance(text, str) else None) if (i := known.get(x)) is not None]
+                often[at] += 1
+        at = np.flatnonzero(often)
+        yield pd.DataFrame({"term": [-1], "n": [rows]})
+        for s in range(0, len(at), 50_000):
+            yield pd.DataFrame({"term": at[s : s + 50_000], "n": often[at[s : s + 50_000]]})
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [sorted((number.value[x], tf) for x, tf in text_terms(text if isinstance(text, str) else None).items()) for text in batch["text"]]
+            yield pd.DataFrame({"_id": batch["_id"], "_toxic": batch["_toxic"], "at": [np.array([x[0] for x in r], "<i4").tobytes() for r in rows], "tf": [np.array([x[1] for x in r], "<i4").tobytes() for r in rows]})
 
-    scratch = Scratch(documents.sparkSession)
-    rows = scratch.keep(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).mapInPandas(counted, "_id long, _toxic int, term binary, tf long"))
-    ids = rows.select("_id", "_toxic").distinct().toPandas()
-    n = {y: int((ids["_toxic"] == y).sum()) for y in (0, 1)}
-    if not n[1] or not n[0]:
-        return ToxicIndex({}, [(int(i), int(y), {}) for i, y in zip(ids["_id"], ids["_toxic"], strict=True)], (totals.get(0, 0), totals.get(1, 0)), k)
-    seen = rows.where("term <> binary('')").groupBy("term").agg(F.count_if(F.col("_toxic") == 1).alias("t"), F.count_if(F.col("_toxic") == 0).alias("c"))
-    t, c, total = F.col("t"), F.col("c"), float(n[0] + n[1])
-    # the 2 x 2 table's chi-square, of terms that toxic rows have more often
-    diff = t * (n[0] - c) - c * (n[1] - t)
-    chi = total * diff * diff / (F.lit(float(n[0])) * n[1] * (t + c) * (total - t - c))
-    telling = seen.where((t >= 3) & (t / float(n[1]) > 4 * c / float(n[0])) & (t + c < total)).withColumn("chi", chi).where("chi > 12")
-    kept = telling.orderBy(F.desc("chi"), "term").limit(most_terms)
-    terms = {bytes(r["term"]): float(np.log((1 + total) / (1 + r["t"] + r["c"])) + 1) for r in kept.collect()}
-    own = rows.join(F.broadcast(kept.select("term")), "term").select("_id", "term", "tf").toPandas()
-    by_id: dict[int, dict[bytes, int]] = {}
-    for i, term, tf in zip(own["_id"], own["term"], own["tf"], strict=True):
-        by_id.setdefault(int(i), {})[bytes(term)] = int(tf)
-    examples = [(int(i), int(y), by_id.get(int(i), {})) for i, y in zip(ids["_id"], ids["_toxic"], strict=True)]
-    return ToxicIndex(terms, examples, (totals.get(0, 0), totals.get(1, 0)), k)
+    often = docs.select("text").mapInPandas(met, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    df = np.zeros(len(seen) + 1)
+    df[often["term"]] = often["n"]  # the number of documents is last, at -1
+    weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (1 + chi)
+    own = sample.mapInPandas(numbered, "_id long, _toxic int, at binary, tf binary").toPandas()
+    examples = [(int(i), int(y), (np.frombuffer(at, "<i4"), np.frombuffer(tf, "<i4"))) for i, y, at, tf in zip(own["_id"], own["_toxic"], own["at"], own["tf"], strict=True)]
+    number.destroy()
+    del seen, often, own
+    return ToxicIndex((numbers, weights), examples, classes, k)
 
 
 def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
     """``documents`` with ``_toxicity`` (0 to 1) and ``_evidence_ids`` (nearest examples); whole texts, no shuffle.
 
-    Null and empty texts, and texts without any telling term, get the share of toxic rows among such examples. Repeated rows
+    Null and empty texts, and texts without any term of an example, get the share of toxic rows among blank examples. Repeated rows
     get equal scores. Without labels of both classes every score is that share.
     """
     shared = documents.sparkSession.sparkContext.broadcast(index)
@@ -185,7 +250,7 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
     @F.pandas_udf("struct<score:double,ids:array<long>>")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            out = [shared.value.score(t if isinstance(t, str) else None) for t in s]
+            out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
     both = documents.withColumn("_toxic_score", scored(F.col("text").cast("string")))
