@@ -293,6 +293,12 @@ def test_toxicity_searches_by_every_term(spark, docs):
     assert all(ids for t, (_, ids) in zip(every, index.scores(every), strict=True) if any(x in index.number for x in toxicity.text_terms(t)))
 
 
+def test_toxicity_learns_from_3000_and_5000(spark):
+    rows = spark.range(15_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a w"), (F.col("id") % 50).cast("string")).alias("text"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    index = toxicity.fit_index(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert len(index.ids) == 8000 and index.labels.sum() == 3000
+
+
 def test_mixing_meets_its_targets(odd, none, docs):
     got = mixing.mixing_probabilities(docs).toPandas()
     tokens = got["_tokens"]

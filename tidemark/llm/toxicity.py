@@ -179,7 +179,7 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
 
 
-def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 2000, most_clean: int = 2500, k: int = 15) -> ToxicIndex:
+def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, most_clean: int = 5000, k: int = 15) -> ToxicIndex:
     """Index of at most ``most_toxic`` + ``most_clean`` labelled rows that are not held out, chosen by a hash of doc_id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").alias("_toxic"))
     totals = {int(r["_toxic"]): r["count"] for r in known.groupBy("_toxic").count().collect()}
