@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
-_BATCH = 128
+_BATCH = 64
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -75,14 +75,27 @@ class ToxicIndex:
         common = np.flatnonzero(n > max(8, len(kept) // 16))
         self.row = np.full(len(self.number), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.n_blocks * self.block))
         often = self.row[term] >= 0
-        self.dense[self.row[term[often]], example[often]] = self._weights(term[often], tf[often]) / self.norm[example[often]]
-        self.most = self.dense.reshape(len(common), self.n_blocks, self.block).max(axis=2)
+        self.often = term[often], tf[often], example[often]
+        self._fill()
         order = np.argsort(term[~often], kind="stable")
         self.example, self.tf = example[~often][order], tf[~often][order]
         self.start = np.concatenate([[0], np.cumsum(np.where(self.row >= 0, 0, n))])
 
+    def _fill(self) -> None:
+        self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, self.n_blocks * self.block))
+        for s in range(0, len(self.often[0]), 100_000):
+            term, tf, example = (x[s : s + 100_000] for x in self.often)
+            self.dense[self.row[term], example] = self._weights(term, tf) / self.norm[example]
+        self.most = self.dense.reshape(len(self.dense), self.n_blocks, self.block).max(axis=2)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "most")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._fill()
+
     def _weights(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return (1 + np.log(tf, dtype=float)) * self.idf[at]
 
