@@ -311,6 +311,12 @@ def test_mixing_meets_its_targets(odd, none, docs):
     assert mixing.mixing_probabilities(odd).count() == odd.count() and mixing.mixing_probabilities(none).count() == 0
 
 
+def test_topics_are_of_the_text(spark):
+    texts = {"The doctor sent the patient home.": "health", "Der Richter | das Gericht": "law", "banque et marché, " + "la " * 3000: "finance", "of the in": "other", "": "other", "doctor court judge": "law", "court doctor": "health"}
+    frame = spark.createDataFrame([(t, n) for t, n in texts.items()] + [(None, "other")], "text string, want string")
+    assert frame.select(mixing.topic_of(F.col("text")).alias("got"), "want").where("got <> want").count() == 0
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(150, 8))
