@@ -317,6 +317,13 @@ def test_topics_are_of_the_text(spark):
     assert frame.select(mixing.topic_of(F.col("text")).alias("got"), "want").where("got <> want").count() == 0
 
 
+def test_mixing_counts_words_at_any_white_space(spark):
+    texts = ["a b", "a\nb\tc", "  a  b ", "\u00a0x\u2003y\u2029z", "", " ", None, "one"]
+    frame = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["_tokens"] for r in mixing.mixing_probabilities(frame).collect()}
+    assert got == {i: max(1, len((t or "").split())) for i, t in enumerate(texts)}
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(150, 8))

@@ -70,7 +70,7 @@ def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
 
 
 def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None = None, budget: float = 0.8, seed: int = 11) -> DataFrame:
-    """``documents`` with ``_topic``, ``_tokens`` (words), ``_weight`` (its cell's goal against its natural share),
+    """``documents`` with ``_topic``, ``_tokens`` (runs of non-white-space), ``_weight`` (its cell's goal against its natural share),
     ``_probability`` and ``_drawn``.
 
     Null sources and languages are values of their own. A text without words counts one token. Repeated rows are drawn
@@ -78,7 +78,7 @@ def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None =
     """
     scratch, powers = Scratch(documents.sparkSession), powers or {"source": 0.7, "lang": 0.7, "topic": 0.7}
     text = F.col("text").cast("string")
-    tokens = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit(" "))), F.lit(0)).cast("long") + 1
+    tokens = F.greatest(F.coalesce(F.regexp_count(text, F.lit(r"[^\s\x1c-\x1f\x85\p{Z}]+")), F.lit(0)), F.lit(1)).cast("long")
     named = {"_source": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")), "_lang": F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")), "_topic": topic_of(text), "_tokens": tokens}
     rows = documents.withColumns(named)
     cells = rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
