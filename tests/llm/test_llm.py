@@ -324,6 +324,13 @@ def test_mixing_counts_words_at_any_white_space(spark):
     assert got == {i: max(1, len((t or "").split())) for i, t in enumerate(texts)}
 
 
+def test_raking_returns_the_gap_of_goals_that_contradict(spark):
+    cells = spark.createDataFrame([("a", "x", 0.5), ("b", "y", 0.5)], "source string, lang string, w double")
+    goal = lambda name, shares: spark.createDataFrame(shares, f"{name} string, goal double")
+    fit = lambda share: mixing.rake(cells, {"source": goal("source", [("a", 0.5), ("b", 0.5)]), "lang": goal("lang", [("x", share), ("y", 1 - share)])}, Scratch(spark), 3)[1]
+    assert fit(0.5) < 1e-9 and abs(fit(0.7) - 0.2) < 1e-9
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(150, 8))

@@ -41,25 +41,29 @@ def topic_of(text: Column) -> Column:
     return F.transform(F.array(found), best)[0]["name"]
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, most_rounds: int = 40, near: float = 1e-4) -> DataFrame:
-    """cells (the marginals' columns and ``w``) with ``w`` fitted. targets: by column, frames of that column and ``goal``.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, most_rounds: int = 40, near: float = 1e-4) -> tuple[DataFrame, float]:
+    """cells (the marginals' columns and ``w``) with ``w`` fitted, and the largest gap that remains between a marginal's share
+    and its goal: above ``near`` if the goals contradict each other or 40 rounds do not suffice. targets: by column, frames
+    of that column and ``goal``.
 
     Goals are shares of the whole. A marginal value with tokens but no goal keeps its weight out of the fit: its goal is 0.
     """
-    w = cells
+    w, off = cells, 0.0
     for _ in range(most_rounds):
         for name, goal in targets.items():
             sums = w.groupBy(name).agg(F.sum("w").alias("_sum"))
             factor = sums.join(goal, name, "left").select(name, F.when(F.col("_sum") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("_sum")).otherwise(0.0).alias("_factor"))
             w = w.join(factor, name).withColumn("w", F.col("w") * F.col("_factor")).drop("_factor")
         w = scratch.keep(w)
-        # the last marginal is exact now; the first tells how far the round has moved it
-        first = next(iter(targets))
-        now = w.groupBy(first).agg(F.sum("w").alias("_sum")).join(targets[first], first)
-        off = now.agg(F.max(F.abs(F.col("_sum") - F.col("goal")))).first()[0]
-        if off is None or off < near:
+        gaps = None
+        for name, goal in targets.items():
+            now = w.groupBy(name).agg(F.sum("w").alias("_sum")).join(goal, name, "full")
+            gap = now.select(F.abs(F.coalesce("_sum", F.lit(0.0)) - F.coalesce("goal", F.lit(0.0))).alias("_gap"))
+            gaps = gap if gaps is None else gaps.unionAll(gap)
+        off = gaps.agg(F.max("_gap")).first()[0] or 0.0
+        if off < near:
             break
-    return w
+    return w, off
 
 
 def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
@@ -71,7 +75,7 @@ def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
 
 def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None = None, budget: float = 0.8, seed: int = 11) -> DataFrame:
     """``documents`` with ``_topic``, ``_tokens`` (runs of non-white-space), ``_weight`` (its cell's goal against its natural share),
-    ``_probability`` and ``_drawn``.
+    ``_probability``, ``_drawn`` and ``_gap`` (the fit's largest distance of a marginal's share from its goal).
 
     Null sources and languages are values of their own. A text without words counts one token. Repeated rows are drawn
     alike. budget: expected share of all tokens that is drawn, as far as probabilities of at most 1 allow.
@@ -85,10 +89,11 @@ def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None =
     cells = scratch.keep(cells)
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return rows.drop("_source", "_lang").withColumns({"_weight": F.lit(1.0), "_probability": F.lit(1.0), "_drawn": F.lit(True)})
+        return rows.drop("_source", "_lang").withColumns({"_weight": F.lit(1.0), "_probability": F.lit(1.0), "_drawn": F.lit(True), "_gap": F.lit(0.0)})
     start = scratch.keep(cells.withColumn("w", F.col("tokens") / float(total)))
     goals = {name: scratch.keep(tempered(cells, name, powers[name])) for name in MARGINALS}
-    fitted = rake(start, goals, scratch).withColumn("r", F.col("w") * float(total) / F.col("tokens"))
+    fitted, gap = rake(start, goals, scratch)
+    fitted = fitted.withColumn("r", F.col("w") * float(total) / F.col("tokens"))
     fitted = scratch.keep(fitted)
     least = fitted.where("r > 0").agg(F.min("r")).first()[0] or 1.0
     lo, hi = 0.0, 1 / least
@@ -100,4 +105,4 @@ def mixing_probabilities(documents: DataFrame, powers: dict[str, float] | None =
     table = fitted.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("r").alias("_weight"), F.least(F.lit(1.0), F.lit(lo) * F.col("r")).alias("_probability"))
     out = rows.join(table, ["_source", "_lang", "_topic"], "left").drop("_source", "_lang")
     dice = F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-    return out.withColumn("_drawn", F.coalesce(dice < F.col("_probability"), F.lit(False)))
+    return out.withColumns({"_drawn": F.coalesce(dice < F.col("_probability"), F.lit(False)), "_gap": F.lit(float(gap))})

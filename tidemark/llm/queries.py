@@ -61,7 +61,7 @@ def op8_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mixing_probabilities(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"), F.col("_probability").alias("probability"), F.col("_drawn").alias("drawn"))
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"), F.col("_probability").alias("probability"), F.col("_drawn").alias("drawn"), F.col("_gap").alias("marginal_gap"))
 
 
 def op10_pivot_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
