@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 
 def components(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 
 def choose_pivots(sample: np.ndarray, pivots: int) -> np.ndarray:

@@ -14,7 +14,10 @@ Before shingles are fetched, pairs are screened by 1,024 parity bits of each set
 than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar. Large sets, whose
 bits are all mixed, are screened by counts of 1,024 cells as well.
 
-Shingles are 64-bit hashes of words, sets are told apart by 128 bits.
+Signatures travel packed, 12 bytes each: a row holds all those of a batch of sets that fall into one bucket of hashes.
+They are unpacked where their buckets meet, so every signature's sets meet without a second exchange.
+
+Shingles are 64-bit hashes of words, sets are told apart by 128 bits. Texts are hashed in pieces of a bounded size.
 """
 
 from __future__ import annotations
@@ -29,10 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_BYTES_AT_ONCE = 4_000_000
+_BYTES_AT_ONCE = 1_000_000
+_SIGNATURES_AT_ONCE = 500_000
 _FILTER_BITS = 1 << 25
 
 
@@ -60,24 +64,53 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out + _sets(part, width)
 
 
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of joined texts that end in a blank. A hash sums up what each byte has at its place."""
+    starts, sums = [], []
+    offset, tail = 0, 0  # bytes before the piece, bytes of a word that the piece before has cut
+    for lo in range(0, len(data), _BYTES_AT_ONCE):
+        piece = data[lo : lo + _BYTES_AT_ONCE]
+        inside = (piece != 32) & ((piece < 9) | (piece > 13))
+        first = np.flatnonzero(inside & ~np.concatenate([[tail > 0], inside[:-1]]))
+        rest = tail > 0 and bool(inside[0])
+        at = np.concatenate([[0], first]) if rest else first
+        if len(at):
+            position = np.arange(len(piece))
+            position[at[0] :] -= np.repeat(at, np.diff(np.append(at, len(piece))))
+            if rest:
+                end = int(first[0]) if len(first) else len(piece)
+                position[:end] += tail
+            value = np.zeros(len(piece), np.uint64)
+            near = inside & (position < 64)
+            value[near] = _TABLE[(position[near] << 8) | piece[near]]
+            far = inside & ~near
+            if far.any():
+                value[far] = _mix((((position[far].astype(np.uint64) << np.uint64(8)) | piece[far]) + np.uint64(1)) * _GOLD)
+            total = np.add.reduceat(value, at)
+            if rest:
+                sums[-1][-1:] += total[:1]
+            starts.append(first + offset)
+            sums.append(total[1:] if rest else total)
+            if rest and not len(first):
+                starts.pop(), sums.pop()
+        if inside[-1]:
+            last = int(at[-1])
+            tail = len(piece) - last + (tail if rest and last == 0 else 0)
+        else:
+            tail = 0
+        offset += len(piece)
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(starts), _mix(np.concatenate(sums))
+
+
 def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     if not texts:
         return []
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    inside = (data != 32) & ((data < 9) | (data > 13))
-    before = np.concatenate([[False], inside[:-1]])
-    starts = np.flatnonzero(inside & ~before)
+    starts, words = _word_hashes(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
     if not len(starts):
         return [np.zeros(0, np.int64) for _ in texts]
-    position = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data)))) if starts[0] == 0 else np.concatenate([np.zeros(starts[0], np.int64), np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))])
-    value = np.zeros(len(data), np.uint64)
-    near = inside & (position < 64)
-    value[near] = _TABLE[(position[near] << 8) | data[near]]
-    far = inside & ~near
-    if far.any():
-        value[far] = _mix((((position[far].astype(np.uint64) << np.uint64(8)) | data[far]) + np.uint64(1)) * _GOLD)
-    words = _mix(np.add.reduceat(value, starts))
     n_words = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
     first = np.concatenate([[0], np.cumsum(n_words)])
     if len(words) >= width:
@@ -145,15 +178,16 @@ def _folded(i: int):
 
 
 def _may_be_similar(a: str, b: str, num: int, den: int, lanes: list[str] = _SKETCH):
-    """Condition on the parity bits and sizes of two joined sketches."""
-    return F.lit(den + num) * _apart(a, b, lanes) <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    """Condition on the sizes and parity bits of two joined sketches."""
+    sizes = (F.lit(den) * F.col(f"{a}.n") >= F.lit(num) * F.col(f"{b}.n")) & (F.lit(den) * F.col(f"{b}.n") >= F.lit(num) * F.col(f"{a}.n"))
+    return sizes & (F.lit(den + num) * _apart(a, b, lanes) <= F.lit(den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n")))
 
 
 class PartEnum:
     """Signatures for Jaccard similarity num / den. Sizes fall into bands whose tops grow by ``growth``; a similar pair lies in
     one band or in two that touch, so a set signs for its own band, and for the next if a partner could lie there."""
 
-    def __init__(self, num: int, den: int, parts: int = 2, spared: int = 1, growth: float = 1.75) -> None:
+    def __init__(self, num: int, den: int, parts: int = 3, spared: int = 1, growth: float = 1.25) -> None:
         if growth * num < den:
             raise ValueError("bands must be wider than similar sets' sizes can differ")
         self.num, self.den, self.parts, self.spared, self.growth = num, den, parts, spared, growth
@@ -248,6 +282,29 @@ def _wanted(ids: DataFrame, size: int):
     return spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
 
 
+def _packed(own: DataFrame, buckets: int) -> DataFrame:
+    """bucket, base, sigs, at: the signatures of many sets, by bucket; ``base + at`` is a signature's set."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, sigs = batch["row"].to_numpy(np.int64), batch["sigs"].tolist()
+            sizes = np.cumsum([len(x) for x in sigs])
+            lo = 0
+            while lo < len(rows):
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + _SIGNATURES_AT_ONCE)))
+                sig = np.concatenate(sigs[lo:hi]).astype(np.int64)
+                rid = np.repeat(rows[lo:hi], [len(x) for x in sigs[lo:hi]])
+                bucket = (_mix(sig.view(np.uint64) * _M2 + _GOLD) % np.uint64(buckets)).astype(np.int64)
+                base = rid >> 31 << 31
+                order = np.lexsort((base, bucket))
+                sig, rid, bucket, base = sig[order], rid[order], bucket[order], base[order]
+                cut = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (base[1:] != base[:-1])]))
+                yield pd.DataFrame({"bucket": bucket[cut], "base": base[cut], "sigs": np.split(sig, cut[1:]), "at": np.split((rid - base).astype(np.int32), cut[1:])})
+                lo = hi
+
+    return own.mapInPandas(run, "bucket long, base long, sigs array<long>, at array<int>")
+
+
 def _between(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs that no component holds yet."""
     at = pairs.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
@@ -274,7 +331,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, nu
     return scratch.keep(checked.where(F.lit(den).cast("long") * F.col("i") >= F.lit(num).cast("long") * (F.col("s") - F.col("i"))).select("a", "b"))
 
 
-def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 2, spared: int = 1, text_key: bool = False) -> DataFrame:
+def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 3, spared: int = 1, text_key: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents link when their sets' Jaccard similarity is at least num / den; component_id is the smallest doc_id reachable
@@ -290,8 +347,10 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     sets = scratch.keep(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.min("row").alias("rid")))
     firsts = some.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
     own, sketches = firsts.select("row", "sigs"), scratch.keep(firsts.select(F.col("row").alias("rid"), "n", *_SKETCH, "counts"))
-    shown = own.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
-    order = Window.partitionBy("sig").orderBy(F.xxhash64("sig", "rid"))
+    buckets = 16 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    met = _packed(own, buckets).repartition("bucket").select("bucket", "base", F.explode(F.arrays_zip("sigs", "at")).alias("x"))
+    shown = met.select("bucket", F.col("x.sigs").alias("sig"), (F.col("base") + F.col("x.at")).alias("rid"))
+    order = Window.partitionBy("bucket", "sig").orderBy(F.xxhash64("sig", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
     shared = scratch.keep(chained.where("prev is not null or next is not null").select("sig", "rid", "prev"))
     every = scratch.keep(signed.select("doc_id", "n", "d1", "d2", "text_key"))
@@ -333,7 +392,6 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     return result
 
 
-
 def one_per_class(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``documents`` with one row of each class of similar texts: the one whose doc_id names the class.
 
@@ -343,8 +401,9 @@ def one_per_class(documents: DataFrame, width: int = 5, num: int = 80, den: int
     classes = similar_documents(documents, width, num, den, text_key=True)
     named = classes.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
     alone = classes.where("n_shingles = 0 or (doc_id is null and component_id is null)").select("doc_id", "text_key")
-    least = F.lit(-(1 << 63))
-    stay = named.unionAll(alone).select(F.coalesce("doc_id", least).alias("_id"), F.coalesce(F.col("doc_id").isNull(), F.lit(True)).alias("_null"), F.col("text_key").alias("_key")).distinct()
+    none, taken = F.lit(-(1 << 63)), {c.lower() for c in documents.columns}
+    names = [next(x for i in range(len(taken) + 1) if (x := f"{c}_{i}") not in taken) for c in ("own_id", "own_null", "own_text")]
+    stay = named.unionAll(alone).select(F.coalesce("doc_id", none).alias(names[0]), F.coalesce(F.col("doc_id").isNull(), F.lit(True)).alias(names[1]), F.col("text_key").alias(names[2])).distinct()
     doc_id = F.col("doc_id").cast("long")
-    own = documents.withColumns({"_id": F.coalesce(doc_id, least), "_null": doc_id.isNull(), "_key": F.xxhash64(F.col("text").cast("string"))})
-    return own.join(stay, ["_id", "_null", "_key"], "left_semi").dropDuplicates(["_id", "_null", "_key"]).select(*documents.columns)
+    own = documents.withColumns(dict(zip(names, (F.coalesce(doc_id, none), doc_id.isNull(), F.xxhash64(F.col("text").cast("string"))), strict=True)))
+    return own.join(stay, names, "left_semi").dropDuplicates(names).select(*documents.columns)

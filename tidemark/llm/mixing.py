@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 MARGINALS = ("source", "lang", "topic")
 

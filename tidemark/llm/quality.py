@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _SYMBOLS, _DIGITS, _STOPS = b"#$%&*|!@^~<>{}[]=+_\\/", b"0123456789", b".,;:?"

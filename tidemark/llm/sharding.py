@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .scratch import Scratch
+from ..sources.work import Scratch
 
 _LEAST = -(1 << 63)
 

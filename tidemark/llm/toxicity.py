@@ -200,7 +200,7 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     chosen = pick(1, most_toxic).unionAll(pick(0, most_clean))
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
 
-    from .scratch import Scratch
+    from ..sources.work import Scratch
 
     spark, classes = documents.sparkSession, (totals.get(0, 0), totals.get(1, 0))
     sample = Scratch(spark).keep(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
