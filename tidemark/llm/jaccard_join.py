@@ -64,7 +64,7 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out + _sets(part, width)
 
 
-def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words of joined texts that end in a blank. A hash sums up what each byte has at its place."""
     starts, sums = [], []
     offset, tail = 0, 0  # bytes before the piece, bytes of a word that the piece before has cut
@@ -104,11 +104,20 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), _mix(np.concatenate(sums))
 
 
+def byte_hashes(rows: np.ndarray, kind: int = 0) -> np.ndarray:
+    """Hashes of the rows of a byte matrix; kind 0: as ``word_hashes`` has them."""
+    value = np.zeros(len(rows), np.uint64)
+    for i in range(rows.shape[1]):
+        at = rows[:, i].astype(np.int64) | (i << 8)
+        value += _TABLE[at] if i < 64 else _mix((at.astype(np.uint64) + np.uint64(1)) * _GOLD)
+    return _mix(_mix(value) + np.array([kind], np.uint64) * _M1 if kind else value).view(np.int64)
+
+
 def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     if not texts:
         return []
     ends = np.cumsum([len(t) + 1 for t in texts])
-    starts, words = _word_hashes(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
+    starts, words = word_hashes(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
     if not len(starts):
         return [np.zeros(0, np.int64) for _ in texts]
     n_words = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))

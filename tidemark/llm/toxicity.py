@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of labelled rows, so the index has a proven size and is sent to every task. Features are all
-words and word beginnings of the sample, none dropped: each has its idf over all documents, raised by 1 + chi-square where
-toxic examples have it more often. Norms are those of whole examples. Postings lie in blocks of examples, and each common term
+words and word beginnings of the sample, none dropped, known by 64-bit hashes: each has its idf over all documents, raised
+by 1 + chi-square where toxic examples have it more often. Norms are those of whole examples. Postings lie in blocks of examples, and each common term
 has its largest weight in every block; rare ones are summed up first. Blocks are visited by their upper bounds, and left
 out for texts that can have no nearer example there, so the k nearest are exact. Their votes, weighted by cosine and
 class, are turned into probabilities by an isotonic curve fitted on the examples, each held out in turn.
@@ -10,6 +10,7 @@ class, are turned into probabilities by an isotonic curve fitted on the examples
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -18,18 +19,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.work import Scratch
+from .jaccard_join import byte_hashes, word_hashes
+
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
 _BATCH = 64
+_BYTES_AT_ONCE = 1_000_000
+_SLICE = 1 << 14
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split()
+def _plain(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
 def text_terms(text: str | None) -> dict[bytes, int]:
     """Counts of words, and of the first bytes of longer words (marked by a star)."""
-    counts = Counter(_words(text))
+    counts = Counter(_plain(text).split())
     out = dict(counts)
     for n in _STEMS:
         for w, c in counts.items():
@@ -39,13 +45,66 @@ def text_terms(text: str | None) -> dict[bytes, int]:
     return out
 
 
+def term_hashes(terms: list[bytes]) -> np.ndarray:
+    """Hashes of terms as ``text_terms`` writes them."""
+    out = []
+    for t in terms:
+        stem = t.endswith(b"*")
+        raw = np.frombuffer(t[:-1] if stem else t, np.uint8)
+        out.append(byte_hashes(raw[None, :], len(raw) if stem else 0)[0])
+    return np.array(out, np.int64)
+
+
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of every occurrence of a term."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    starts, words = word_hashes(data)
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    owner, found = [text], [words.view(np.int64)]
+    for n in _STEMS:
+        within = np.minimum(starts + n, len(data) - 1)
+        long = starts[(data[within] != 32) & (np.searchsorted(starts, within, side="right") == np.arange(1, len(starts) + 1))]
+        owner.append(text[np.searchsorted(starts, long)])
+        found.append(byte_hashes(data[long[:, None] + np.arange(n)], n))
+    return np.concatenate(owner), np.concatenate(found)
+
+
+def _batches(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
+    part: list[bytes] = []
+    size = 0
+    for t in texts:
+        part.append(_plain(t if isinstance(t, str) else None))
+        size += len(part[-1])
+        if size > _BYTES_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def known_terms(texts: Iterable[str | None], terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the numbers and counts of the terms that ``terms`` (sorted hashes) holds, by number."""
+    for part in _batches(texts):
+        owner, found = _hashed(part)
+        at = np.minimum(np.searchsorted(terms, found), max(0, len(terms) - 1))
+        is_known = terms[at] == found if len(terms) else np.zeros(len(found), bool)
+        key, counts = np.unique(owner[is_known] * len(terms) + at[is_known], return_counts=True)
+        cuts = np.searchsorted(key, np.arange(1, len(part)) * len(terms))
+        yield from zip(np.split((key % max(1, len(terms))).astype(np.int32), cuts), np.split(counts.astype(np.int32), cuts), strict=True)
+
+
 class ToxicIndex:
-    """Exact k nearest examples. terms: weight by term, or numbers by term and weights; rows: (example id, label, counts of
-    terms, or their numbers and counts)."""
+    """Exact k nearest examples. terms: weight by term, or sorted hashes of terms and their weights; rows: (example id, label,
+    counts of terms, or their numbers and counts)."""
 
-    def __init__(self, terms: dict[bytes, float] | tuple[dict[bytes, int], np.ndarray], examples: list[tuple[int, int, dict[bytes, int] | tuple[np.ndarray, np.ndarray]]], class_rows: tuple[float, float], k: int = 15, block: int = 64) -> None:
+    def __init__(self, terms: dict[bytes, float] | tuple[np.ndarray, np.ndarray], examples: list[tuple[int, int, dict[bytes, int] | tuple[np.ndarray, np.ndarray]]], class_rows: tuple[float, float], k: int = 15, block: int = 64) -> None:
         self.k, self.block = k, block
-        self.number, self.idf = terms if isinstance(terms, tuple) else ({t: i for i, t in enumerate(sorted(terms))}, np.array([terms[t] for t in sorted(terms)]))
+        if isinstance(terms, dict):
+            hashes, weights = term_hashes(list(terms)), np.array(list(terms.values()), float)
+            terms = np.sort(hashes), weights[np.argsort(hashes)]
+        self.terms, self.idf = terms
         own = [sum(1 for x in examples if x[1] == c) for c in (0, 1)]
         self.scale = np.array([class_rows[c] / own[c] if own[c] else 0.0 for c in (0, 1)])
         rows = [(i, y, *self._numbered(counts)) for i, y, counts in sorted(examples, key=lambda x: x[0])]
@@ -71,9 +130,9 @@ class ToxicIndex:
         self.norm = np.ones(self.n_blocks * self.block)
         self.norm[: len(kept)] = [np.sqrt((self._weights(*x[2:]) ** 2).sum()) for x in kept]
         example = np.repeat(np.arange(len(kept), dtype=np.min_scalar_type(len(kept))), [len(x[2]) for x in kept])
-        n = np.bincount(term, minlength=len(self.number))
+        n = np.bincount(term, minlength=len(self.terms))
         common = np.flatnonzero(n > max(8, len(kept) // 16))
-        self.row = np.full(len(self.number), -1, np.int32)
+        self.row = np.full(len(self.terms), -1, np.int32)
         self.row[common] = np.arange(len(common))
         often = self.row[term] >= 0
         self.often = term[often], tf[often], example[often]
@@ -102,8 +161,11 @@ class ToxicIndex:
     def _numbered(self, counts: dict[bytes, int] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         if not isinstance(counts, dict):
             return counts
-        known = sorted((self.number[t], c) for t, c in counts.items() if t in self.number)
-        return np.array([x[0] for x in known], np.int32), np.array([x[1] for x in known], np.int32)
+        hashes, tf = term_hashes(list(counts)), np.array(list(counts.values()), np.int32)
+        at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1)).astype(np.int32)
+        known = np.flatnonzero(self.terms[at] == hashes) if len(self.terms) else np.zeros(0, np.int64)
+        known = known[np.argsort(at[known], kind="stable")]
+        return at[known], tf[known]
 
     def vector(self, counts: dict[bytes, int] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and unit weights of the terms. Terms that no example has change all cosines of a text by one factor only,
@@ -179,11 +241,14 @@ class ToxicIndex:
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[int]]]:
         """(probability of toxic, ids of the nearest examples) of each text."""
-        out = []
-        for s in range(0, len(texts), _BATCH):
-            for near in self._search([self.vector(text_terms(t)) for t in texts[s : s + _BATCH]]):
-                v, _ = self._vote(near)
-                out.append((float(np.interp(v, *self.curve)) if v >= 0 else self.rest, [self.ids[i] for _, i in near]))
+        out, part = [], []
+        for i, counts in enumerate(known_terms(texts, self.terms)):
+            part.append(self.vector(counts))
+            if len(part) == _BATCH or i == len(texts) - 1:
+                for near in self._search(part):
+                    v, _ = self._vote(near)
+                    out.append((float(np.interp(v, *self.curve)) if v >= 0 else self.rest, [self.ids[i] for _, i in near]))
+                part = []
         return out
 
 
@@ -200,8 +265,6 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     chosen = pick(1, most_toxic).unionAll(pick(0, most_clean))
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
 
-    from ..sources.work import Scratch
-
     spark, classes = documents.sparkSession, (totals.get(0, 0), totals.get(1, 0))
     sample = Scratch(spark).keep(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
     n = {int(r["_toxic"]): r["count"] for r in sample.groupBy("_toxic").count().collect()}
@@ -210,46 +273,53 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = {y: Counter(t for text, x in zip(batch["text"], batch["_toxic"], strict=True) if x == y for t in text_terms(text if isinstance(text, str) else None)) for y in (0, 1)}
-            both = list(rows[0].keys() | rows[1].keys())
-            yield pd.DataFrame({"term": both, "t": [rows[1][x] for x in both], "c": [rows[0][x] for x in both]})
+            rows = {y: [np.zeros(0, np.int64)] for y in (0, 1)}
+            for text, y in zip(batch["text"], batch["_toxic"], strict=True):
+                rows[int(y)].append(np.unique(_hashed([_plain(text if isinstance(text, str) else None)])[1]))
+            ends = {y: np.unique(np.concatenate(rows[y]), return_counts=True) for y in (0, 1)}
+            yield pd.concat([pd.DataFrame({"term": ends[y][0], "t": ends[y][1] * y, "c": ends[y][1] * (1 - y)}) for y in (0, 1)])
 
-    seen = sample.mapInPandas(counted, "term binary, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toPandas()
+    seen = sample.mapInPandas(counted, "term long, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toPandas()
     seen = seen.sort_values("term", ignore_index=True)
     t, c, total = seen["t"].to_numpy(float), seen["c"].to_numpy(float), float(n[0] + n[1])
     # the 2 x 2 table's chi-square, of terms that toxic rows have more often; it adds weight and drops no term
     diff = np.maximum(t * (n[0] - c) - c * (n[1] - t), 0)
     chi = total * diff * diff / np.maximum(float(n[0]) * n[1] * (t + c) * (total - t - c), 1)
-    numbers = {bytes(x): i for i, x in enumerate(seen.pop("term"))}
-    number = spark.sparkContext.broadcast(numbers)
+    terms = seen["term"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast(terms)
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, rows = number.value, 0
-        often = np.zeros(len(known), np.int64)
+        often, rows = np.zeros(len(shared.value) + 1, "<i8"), 0
         for batch in batches:
-            for text in batch["text"]:
-                rows += 1
-                at = [i for x in text_terms(text if isinstance(text, str) else None) if (i := known.get(x)) is not None]
+            rows += len(batch)
+            for at, _ in known_terms(batch["text"], shared.value):
                 often[at] += 1
-        at = np.flatnonzero(often)
-        yield pd.DataFrame({"term": [-1], "n": [rows]})
-        for s in range(0, len(at), 50_000):
-            yield pd.DataFrame({"term": at[s : s + 50_000], "n": often[at[s : s + 50_000]]})
+        often[-1] = rows
+        yield pd.DataFrame([(i, zlib.compress(often[i * _SLICE : (i + 1) * _SLICE].tobytes(), 1)) for i in range(-(-len(often) // _SLICE))], columns=["slice", "counts"])
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, packed in zip(batch["slice"], batch["counts"], strict=True):
+                counts = np.frombuffer(zlib.decompress(packed), "<i8")
+                sums[i] = sums[i] + counts if i in sums else counts
+        yield pd.DataFrame([(i, v.tobytes()) for i, v in sums.items()], columns=["slice", "counts"])
 
     def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [sorted((number.value[x], tf) for x, tf in text_terms(text if isinstance(text, str) else None).items()) for text in batch["text"]]
-            yield pd.DataFrame({"_id": batch["_id"], "_toxic": batch["_toxic"], "at": [np.array([x[0] for x in r], "<i4").tobytes() for r in rows], "tf": [np.array([x[1] for x in r], "<i4").tobytes() for r in rows]})
+            rows = list(known_terms(batch["text"], shared.value))
+            yield pd.DataFrame({"_id": batch["_id"], "_toxic": batch["_toxic"], "at": [at.astype("<i4").tobytes() for at, _ in rows], "tf": [tf.astype("<i4").tobytes() for _, tf in rows]})
 
-    often = docs.select("text").mapInPandas(met, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(len(seen) + 1)
-    df[often["term"]] = often["n"]  # the number of documents is last, at -1
+    # how many documents have each term: each task sends its counts, packed by slices of the terms, which are added up slice by slice
+    parts = docs.select("text").mapInPandas(met, "slice int, counts binary").repartition("slice").mapInPandas(added, "slice int, counts binary").collect()
+    df = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in sorted(parts, key=lambda r: r["slice"])]) if parts else np.zeros(len(terms) + 1)
     weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (1 + chi)
+    del seen, parts, df, t, c, diff, chi
     own = sample.mapInPandas(numbered, "_id long, _toxic int, at binary, tf binary").toPandas()
     examples = [(int(i), int(y), (np.frombuffer(at, "<i4"), np.frombuffer(tf, "<i4"))) for i, y, at, tf in zip(own["_id"], own["_toxic"], own["at"], own["tf"], strict=True)]
-    number.destroy()
-    del seen, often, own
-    return ToxicIndex((numbers, weights), examples, classes, k)
+    shared.destroy()
+    del own
+    return ToxicIndex((terms, weights), examples, classes, k)
 
 
 def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
@@ -266,5 +336,7 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
             out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
-    both = documents.withColumn("_toxic_score", scored(F.col("text").cast("string")))
-    return both.withColumns({"_toxicity": F.col("_toxic_score.score"), "_evidence_ids": F.col("_toxic_score.ids")}).drop("_toxic_score")
+    taken = {c.lower() for c in documents.columns}
+    both = next(x for i in range(len(taken) + 1) if (x := f"toxic_score_{i}") not in taken)
+    out = documents.withColumn(both, scored(F.col("text").cast("string")))
+    return out.withColumns({"_toxicity": F.col(f"{both}.score"), "_evidence_ids": F.col(f"{both}.ids")}).drop(both)
