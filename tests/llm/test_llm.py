@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import components, embedding_dedup, jaccard_join, media, mixing, packing, quality, queries, sharding, token_counts, toxicity, url_filters
 from tidemark.sources.work import Scratch
 
+SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, comp string, part string"
 
 
@@ -241,11 +242,42 @@ def test_quality(spark, odd, none, docs):
     assert quality.quality_posterior(docs, flat).where("_quality between 0 and 1").count() == docs.count()
 
 
-def test_site_priors_shrink(spark):
-    rows = [("big", "a", 1.0)] * 200 + [("big", "b", 0.0)] + [("small", "a", 0.0)] + [("bad", "a", 0.0)] * 200
+def plain_priors(rows, corpus, k_host, k_path):
+    """Host share and prior of each row, by sums over the other rows."""
+    out = []
+    for i, (h, c, _) in enumerate(rows):
+        others = [x for j, x in enumerate(rows) if j != i]
+        host, path = [x[2] for x in others if x[0] == h], [x[2] for x in others if x[:2] == (h, c)]
+        share = (sum(host) + k_host * corpus) / (len(host) + k_host)
+        out.append((share, (sum(path) + k_path * share) / (len(path) + k_path)))
+    return out
+
+
+def test_site_priors_leave_the_document_out(spark):
+    rng = random.Random(8)
+    rows = [("big", "a", 0.9)] * 60 + [("big", "b", 0.1), ("small", "a", 0.0), ("once", None, 0.5), (None, "a", 0.7)] + [("bad", "a", 0.05)] * 60
+    rows += [(rng.choice("xyz"), rng.choice("pq"), rng.random()) for _ in range(80)]
     frame = spark.createDataFrame(rows, "host string, path string, p double")
-    got = {(r["_host"], r["_path"]): r["prior"] for r in quality.site_priors(frame, "host", "path", Scratch(spark)).collect()}
-    assert got["bad", "a"] < got["small", "a"] < got["big", "b"] < got["big", "a"]
+    sums, corpus, k_host, k_path = quality.site_sums(frame, "host", "path", Scratch(spark))
+    assert abs(corpus - (sum(r[2] for r in rows) + 1) / (len(rows) + 2)) < 1e-12 and 1 <= k_host <= 1000 and 1 <= k_path <= 1000
+    at = {(r["host"], r["path"]): r for r in sums.collect()}
+    for (h, c, p), want in zip(rows, plain_priors(rows, corpus, k_host, k_path), strict=True):
+        got = quality.shrunk(p, at[h, c].asDict(), corpus, k_host, k_path)
+        assert abs(got[0] - want[0]) < 1e-9 and abs(got[1] - want[1]) < 1e-9
+    prior = {(h, c): w[1] for (h, c, _), w in zip(rows, plain_priors(rows, corpus, k_host, k_path), strict=True)}
+    assert prior["bad", "a"] < prior["small", "a"] < prior["big", "a"] and prior["bad", "a"] < prior["big", "b"]  # its own 0.1 is left out
+
+
+def test_posterior_equals_the_plain_one(spark, odd):
+    model = quality.EvidenceModel(np.linspace(-1, 1, quality.FEATURES + 1), 0.3)
+    got = quality.quality_posterior(odd, model).select("source", "lang", "text", "_evidence", "_prior", "_quality").collect()
+    own = [1 / (1 + np.exp(-(r["_evidence"] + model.base))) for r in got]
+    rows = [(r["source"], r["lang"], p) for r, p in zip(got, own, strict=True)]
+    _, corpus, k_host, k_path = quality.site_sums(spark.createDataFrame([(h, c, float(p)) for h, c, p in rows], "host string, path string, p double"), "host", "path", Scratch(spark))
+    for r, (_, prior) in zip(got, plain_priors(rows, corpus, k_host, k_path), strict=True):
+        assert abs(r["_prior"] - prior) < 1e-9
+        assert abs(r["_quality"] - 1 / (1 + np.exp(-r["_evidence"]) * (1 - prior) / prior)) < 1e-9
+        assert r["_evidence"] == (0 if not (r["text"] or "").split() else r["_evidence"])
 
 
 def test_nearest_examples_are_exact():
@@ -301,18 +333,50 @@ def test_toxicity_learns_from_3000_and_5000(spark):
     assert len(index.ids) == 8000 and index.labels.sum() == 3000
 
 
-def test_mixing_meets_its_targets(odd, none, docs):
-    got = mixing.mixing_probabilities(docs).toPandas()
-    tokens = got["_tokens"]
-    for name in ("source", "lang", "_topic"):
+def plain_goals(shares, power, gain):
+    """Shares to a power, at most ``gain`` of a share: the scale is sought by halving."""
+    lo, hi = 0.0, 1e6
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if np.minimum(mid * shares**power, gain * shares).sum() < 1 else (lo, mid)
+    return np.minimum(hi * shares**power, gain * shares)
+
+
+def test_mixing_meets_its_targets(spark, odd, none):
+    got = mixing.mixing_probabilities(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
+    tokens, names = got["_tokens"], ["source", "lang", "_topic"]
+    got[names] = got[names].fillna("none")
+    assert got["_gap"].max() < 1e-4 and got["_probability"].between(0, 1).all() and got["_budget"].nunique() == 1
+    budget, expected, drawn = got["_budget"][0], tokens * got["_probability"], tokens * got["_drawn"]
+    assert abs(expected.sum() / tokens.sum() - budget) < 1e-3 and abs(drawn.sum() / tokens.sum() - budget) < 0.03
+    for name in names:
         natural = tokens.groupby(got[name]).sum() / tokens.sum()
-        goal = natural**0.7 / (natural**0.7).sum()
-        have = (tokens * got["_weight"]).groupby(got[name]).sum() / tokens.sum()
-        assert (have - goal).abs().max() < 2e-3
-    assert abs((tokens * got["_probability"]).sum() / tokens.sum() - 0.8) < 0.01 and got["_probability"].between(0, 1).all()
+        goal = plain_goals(natural, 0.7, 1 / 0.8)
+        off = (expected.groupby(got[name]).sum() / expected.sum() - goal).abs().max()
+        assert off < 2e-4
+        assert (drawn.groupby(got[name]).sum() / drawn.sum() - goal).abs().max() < 0.04
+    # the same fit by plain proportional fitting with a bound
+    cells = tokens.groupby([got[n] for n in names]).sum() / tokens.sum()
+    w = cells.copy()
+    for _ in range(200):
+        for name in names:
+            natural = cells.groupby(level=name).sum()
+            factor = plain_goals(natural, 0.7, 1 / 0.8) / w.groupby(level=name).sum()
+            w = np.minimum(w * w.index.get_level_values(name).map(factor), cells / budget)
+    have = expected.groupby([got[n] for n in names]).sum() / expected.sum()
+    assert (have - w).abs().max() < 5e-4
     assert mixing.mixing_probabilities(odd).count() == odd.count() and mixing.mixing_probabilities(none).count() == 0
 
 
+def test_mixing_takes_goals(spark):
+    rows = [(i, "a b c d e", ["en", "fr"][i % 2], ["x", "y", "z"][i % 3]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mixing_probabilities(frame, goals={"source": {"x": 3, "y": 1}, "lang": {"en": 0.5, "fr": 0.5}}).toPandas()
+    assert got["_gap"].max() < 1e-4 and got["_budget"].max() < 0.8  # x alone has a third of the tokens
+    mix = (got["_tokens"] * got["_probability"]).groupby(got["source"]).sum()
+    assert abs(mix["x"] / mix.sum() - 0.75) < 1e-3 and mix["z"] == 0
+
+
 def test_topics_are_of_the_text(spark):
     texts = {"The doctor sent the patient home.": "health", "Der Richter | das Gericht": "law", "banque et marché, " + "la " * 3000: "finance", "of the in": "other", "": "other", "doctor court judge": "law", "court doctor": "health"}
     frame = spark.createDataFrame([(t, n) for t, n in texts.items()] + [(None, "other")], "text string, want string")
@@ -350,6 +414,26 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_stages_on_odd_and_empty_tables(spark, odd, none):
+    """Every stage on nulls, ties, repeated rows, an empty table, and columns that have the operators' own names."""
+    import corpus_pipeline as p
+
+    own = ["_id", "_key", "_null", "_source", "_lang", "_topic", "_prior", "_quality", "_evidence", "_h1", "_toxicity", "_toxic_score", "_tokens", "_drawn", "_probability", "_group", "_of", "_part"]
+    clash = odd.select("*", *[F.concat(F.lit(f"mine {c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(c) for c in own])
+    for table in (clash, none):
+        kept = table
+        for _, stage in p.STAGES[:-1]:
+            out = stage(spark, kept, SF)
+            assert out.columns == table.columns
+            kept = Scratch(spark).keep(out)
+            assert kept.select(own[0] if table is clash else "doc_id").count() <= table.count()
+            if table is clash:
+                assert all(r[c] == f"mine {c} {'' if r['doc_id'] is None else r['doc_id']}" for r in kept.collect() for c in own)
+        assert p.packing_stage(spark, kept, SF).count() >= kept.select("doc_id").distinct().count() - 1
+    sizes = sharding.histogram_shards(clash.withColumn("size", F.lit(1)), ["doc_id"], "size", 2)
+    assert sizes.count() == 12 and sizes.columns[-2:] == ["shard", "slot"]
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as p
 

@@ -14,10 +14,11 @@ Before shingles are fetched, pairs are screened by 1,024 parity bits of each set
 than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar. Large sets, whose
 bits are all mixed, are screened by counts of 1,024 cells as well.
 
-Signatures travel packed, 12 bytes each: a row holds all those of a batch of sets that fall into one bucket of hashes.
-They are unpacked where their buckets meet, so every signature's sets meet without a second exchange.
+Signatures travel packed, 12 bytes each: a row holds all those of a batch of sets that fall into one bucket of hashes, each
+as 32 more bits of its hash and its set. They are unpacked where their buckets meet, so every signature's sets meet without
+a second exchange; of copies, a batch sends one. Signatures that agree in bucket and bits by chance only cost a screening.
 
-Shingles are 64-bit hashes of words, sets are told apart by 128 bits. Texts are hashed in pieces of a bounded size.
+Shingles are 64-bit hashes of words, and a set's name is a 64-bit hash of them. Texts are hashed in pieces of a bounded size.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
+from .names import free_prefix
 from ..sources.work import Scratch
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -141,9 +143,11 @@ def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def _digest(s: np.ndarray) -> tuple[int, int]:
+def _digest(s: np.ndarray) -> int:
+    """A set's name: equal sets have one, different ones differ but for chance of 1 in 2^64."""
     u = s.view(np.uint64)
-    return int(_mix(u + _GOLD).sum(dtype=np.uint64).astype(np.int64)), int(_mix(u * _M2 + _M1).sum(dtype=np.uint64).astype(np.int64))
+    sums = np.array([[_mix(u + _GOLD).sum(dtype=np.uint64)], [_mix(u * _M2 + _M1).sum(dtype=np.uint64)]])
+    return int(_mix(sums[0] * _M1 + sums[1]).view(np.int64)[0])
 
 
 _LANES = 16
@@ -175,13 +179,13 @@ def _apart(a: str, b: str, lanes: list[str] = _SKETCH):
     return sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in lanes), F.lit(0))
 
 
-_FOLDED = [f"f{i}" for i in range(4)]
+_FOLDED = [f"f{i}" for i in range(8)]
 
 
 def _folded(i: int):
-    """Parities of four lanes laid over each other: parities of fewer, larger cells, which screen as surely but less often."""
+    """Parities of two lanes laid over each other: parities of fewer, larger cells, which screen as surely but less often."""
     out = F.col(_SKETCH[i])
-    for k in _SKETCH[i + 4 :: 4]:
+    for k in _SKETCH[i + len(_FOLDED) :: len(_FOLDED)]:
         out = out.bitwiseXOR(F.col(k))
     return out.alias(_FOLDED[i])
 
@@ -229,7 +233,7 @@ class PartEnum:
         n, spare = self.groups(band)
         cells = n * self.parts
         if cells == self.parts and not spare:  # no difference allowed: the whole set
-            return _mix(np.array([_digest(s)[0]], np.int64).view(np.uint64) + np.uint64(band)).view(np.int64)
+            return _mix(np.array([_digest(s)], np.int64).view(np.uint64) + np.uint64(band)).view(np.int64)
         u = s.view(np.uint64)
         cell = ((_mix(u ^ _GOLD) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
         total, filled = np.zeros(cells, np.uint64), np.zeros(cells, np.int64)
@@ -250,7 +254,7 @@ class PartEnum:
 
 
 def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -> DataFrame:
-    """doc_id, n, d1, d2 and the signatures (or, without sign, the set itself, for doc_ids that the filter holds)."""
+    """doc_id, n, rid (the set's name) and the signatures (or, without sign, the set itself, for doc_ids that the filter holds)."""
     column = "sigs" if sign else "hashes"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,15 +265,14 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
             for lo in range(0, len(batch), 1000):
                 part = batch.iloc[lo : lo + 1000]
                 sets = shingle_sets([t if isinstance(t, str) else None for t in part["text"]], width)
-                digests = [_digest(s) for s in sets]
-                out = pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
+                out = pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "rid": [_digest(s) for s in sets], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
                 if sign:
                     out[_SKETCH] = np.array([_parities(s) for s in sets])
                     out["counts"] = [_histogram(s) for s in sets]
                 yield out
 
     lanes = "".join(f", {k} long" for k in _SKETCH) + ", counts array<short>" if sign else ""
-    return rows.mapInPandas(run, f"doc_id long, n long, d1 long, d2 long, text_key long, {column} array<long>{lanes}")
+    return rows.mapInPandas(run, f"doc_id long, n long, rid long, text_key long, {column} array<long>{lanes}")
 
 
 def _slots(key: np.ndarray, size: int) -> np.ndarray:
@@ -292,26 +295,26 @@ def _wanted(ids: DataFrame, size: int):
 
 
 def _packed(own: DataFrame, buckets: int) -> DataFrame:
-    """bucket, base, sigs, at: the signatures of many sets, by bucket; ``base + at`` is a signature's set."""
+    """bucket, sigs, rids: the signatures of many sets, by bucket, and the set of each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, sigs = batch["row"].to_numpy(np.int64), batch["sigs"].tolist()
+            rows, first = np.unique(batch["rid"].to_numpy(np.int64), return_index=True)
+            sigs = batch["sigs"].iloc[first].tolist()
             sizes = np.cumsum([len(x) for x in sigs])
             lo = 0
             while lo < len(rows):
                 hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + _SIGNATURES_AT_ONCE)))
-                sig = np.concatenate(sigs[lo:hi]).astype(np.int64)
+                sig = _mix(np.concatenate(sigs[lo:hi]).astype(np.int64).view(np.uint64) * _M2 + _GOLD)
                 rid = np.repeat(rows[lo:hi], [len(x) for x in sigs[lo:hi]])
-                bucket = (_mix(sig.view(np.uint64) * _M2 + _GOLD) % np.uint64(buckets)).astype(np.int64)
-                base = rid >> 31 << 31
-                order = np.lexsort((base, bucket))
-                sig, rid, bucket, base = sig[order], rid[order], bucket[order], base[order]
-                cut = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (base[1:] != base[:-1])]))
-                yield pd.DataFrame({"bucket": bucket[cut], "base": base[cut], "sigs": np.split(sig, cut[1:]), "at": np.split((rid - base).astype(np.int32), cut[1:])})
+                bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, bits = bucket[order], (sig[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                yield pd.DataFrame({"bucket": bucket[cut], "sigs": np.split(bits, cut[1:]), "rids": np.split(rid[order], cut[1:])})
                 lo = hi
 
-    return own.mapInPandas(run, "bucket long, base long, sigs array<long>, at array<int>")
+    return own.mapInPandas(run, "bucket long, sigs array<int>, rids array<long>")
 
 
 def _between(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -321,25 +324,31 @@ def _between(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity. sets: rid, lo, d1, d2 of each set; lo: a document that has it."""
+    """The pairs (a, b) whose sets reach the similarity. sets: rid and lo, a document that has the set."""
     pairs = scratch.keep(pairs)
-    used = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "rid", "left_semi").select("rid", "lo", "d1", "d2")
-    used = scratch.keep(used)
+    used = scratch.keep(sets.join(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "rid", "left_semi"))
     count = used.count()
     if not count:
         return pairs
     size = min(_FILTER_BITS, max(1 << 16, 1 << (16 * count).bit_length()))
-    # both joins read one exchange of the sets, by digest; a pair carries the digests of its ends
-    found = _as_frame(rows, width, None, _wanted(used, size)).dropDuplicates(["d1", "d2"]).select("d1", "d2", "hashes")
-    of = lambda c: used.select(F.col("rid").alias(c), F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"))
-    keyed = scratch.keep(pairs.join(of("a"), "a").join(of("b"), "b"))
-    left = keyed.join(found.withColumnsRenamed({"d1": "a1", "d2": "a2", "hashes": "ha"}), ["a1", "a2"])
-    both = left.join(found.withColumnsRenamed({"d1": "b1", "d2": "b2", "hashes": "hb"}), ["b1", "b2"])
+    # both joins read one exchange of the sets, by name
+    found = _as_frame(rows, width, None, _wanted(used, size)).select("rid", "hashes").dropDuplicates(["rid"])
+    left = pairs.join(found.withColumnsRenamed({"rid": "a", "hashes": "ha"}), "a")
+    both = left.join(found.withColumnsRenamed({"rid": "b", "hashes": "hb"}), "b")
     shared = F.size(F.array_intersect("ha", "hb"))
     checked = both.select("a", "b", shared.alias("i"), (F.size("ha") + F.size("hb")).alias("s"))
     return scratch.keep(checked.where(F.lit(den).cast("long") * F.col("i") >= F.lit(num).cast("long") * (F.col("s") - F.col("i"))).select("a", "b"))
 
 
+def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that all parity bits and counts allow, and in how many bits they differ."""
+    narrow, wide = sketches.drop("counts"), sketches.where("counts is not null").select("rid", "n", "counts")
+    at = pairs.join(narrow.alias("x"), F.col("a") == F.col("x.rid")).join(narrow.alias("y"), F.col("b") == F.col("y.rid")).where(_may_be_similar("x", "y", num, den))
+    at = at.select("a", "b", _apart("x", "y").alias("apart"))
+    at = at.join(wide.alias("x"), F.col("a") == F.col("x.rid"), "left").join(wide.alias("y"), F.col("b") == F.col("y.rid"), "left")
+    return at.where(_counts_allow("x", "y", num, den)).select("a", "b", "apart")
+
+
 def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 3, spared: int = 1, text_key: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -350,23 +359,26 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     scratch = Scratch(documents.sparkSession)
     text = F.col("text").cast("string")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    signed_path = scratch.write(_as_frame(rows, width, PartEnum(num, den, parts, spared)).withColumn("row", F.monotonically_increasing_id()))
+    signed_path = scratch.write(_as_frame(rows, width, PartEnum(num, den, parts, spared)))
     signed = documents.sparkSession.read.parquet(signed_path)
     some = signed.where("n > 0")
-    sets = scratch.keep(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.min("row").alias("rid")))
-    firsts = some.join(sets.select(F.col("rid").alias("row")), "row", "left_semi")
-    own, sketches = firsts.select("row", "sigs"), scratch.keep(firsts.select(F.col("row").alias("rid"), "n", *_SKETCH, "counts"))
+    sets = scratch.keep(some.groupBy("rid").agg(F.min("doc_id").alias("lo")))
+    sketches = scratch.keep(some.select("rid", "n", *_SKETCH, "counts").dropDuplicates(["rid"]))
+    every = scratch.keep(signed.select("doc_id", "n", "rid", "text_key"))
     buckets = 16 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    met = _packed(own, buckets).repartition("bucket").select("bucket", "base", F.explode(F.arrays_zip("sigs", "at")).alias("x"))
-    shown = met.select("bucket", F.col("x.sigs").alias("sig"), (F.col("base") + F.col("x.at")).alias("rid"))
-    order = Window.partitionBy("bucket", "sig").orderBy(F.xxhash64("sig", "rid"))
+    met = _packed(some.select("rid", "sigs"), buckets).repartition("bucket").select("bucket", F.explode(F.arrays_zip("sigs", "rids")).alias("x"))
+    shown = met.select("bucket", F.col("x.sigs").alias("bits"), F.col("x.rids").alias("rid"))
+    order = Window.partitionBy("bucket", "bits").orderBy(F.xxhash64("bits", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
-    shared = scratch.keep(chained.where("prev is not null or next is not null").select("sig", "rid", "prev"))
-    every = scratch.keep(signed.select("doc_id", "n", "d1", "d2", "text_key"))
+    sig = (F.shiftleft("bucket", 32) + F.col("bits").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("sig")
+    shared_path = scratch.write(chained.where("prev <> rid or next <> rid").select(sig, "rid", "prev"))
+    shared = documents.sparkSession.read.parquet(shared_path)
     scratch.drop(signed_path)
     pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
-    near = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid"))
-    near = scratch.keep(near.where(_may_be_similar("x", "y", num, den)).where(_counts_allow("x", "y", num, den)).select("a", "b", _apart("x", "y").alias("apart")))
+    short = sketches.select("rid", "n", *[_folded(i) for i in range(len(_FOLDED))])
+    near = pairs.join(short.alias("x"), F.col("a") == F.col("x.rid")).join(short.alias("y"), F.col("b") == F.col("y.rid"))
+    near = near.where(_may_be_similar("x", "y", num, den, _FOLDED)).select("a", "b")
+    near = scratch.keep(_screened(near, sketches, num, den))
     # each set's nearest partner first; of the other pairs, those that still lie in different components
     ends = near.select(F.col("a").alias("me"), "a", "b", "apart").unionAll(near.select(F.col("b").alias("me"), "a", "b", "apart"))
     rank = F.row_number().over(Window.partitionBy("me").orderBy("apart", F.xxhash64("a", "b")))
@@ -377,15 +389,18 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     more = _verified(rest, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         comp = scratch.keep(components(links.unionAll(more), scratch))
-    tagged = shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp"))
+    tagged = scratch.keep(shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp")))
+    scratch.drop(shared_path)
     sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
-    main = scratch.keep(sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main")))
-    mixed = tagged.join(main, "sig")
-    short = sketches.select("rid", "n", *[_folded(i) for i in range(4)])
-    mixed = scratch.keep(mixed.join(short, "rid").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"), "n", *_FOLDED))
+    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main"))
+    mixed = tagged.join(main, "sig").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"))
+    mixed_path = scratch.write(mixed.join(short, "rid"))
+    mixed = documents.sparkSession.read.parquet(mixed_path)
     meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
     cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet).select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
-    cross = cross.join(sketches.alias("x"), F.col("a") == F.col("x.rid")).join(sketches.alias("y"), F.col("b") == F.col("y.rid")).where(_may_be_similar("x", "y", num, den)).where(_counts_allow("x", "y", num, den)).select("a", "b")
+    cross = scratch.keep(cross)
+    scratch.drop(mixed_path)
+    cross = _screened(cross, sketches, num, den).select("a", "b")
     cross = cross.join(pairs, ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
@@ -394,10 +409,10 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
         alone = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(comp, "node", "left_anti")
         named = comp.unionAll(alone.select("node", F.col("node").alias("comp")))
         comp = scratch.keep(named.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
-    named = sets.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("d1", "d2", "lo", F.coalesce("comp", "rid").alias("comp"))
+    named = sets.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("rid", "lo", F.coalesce("comp", "rid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("lo").alias("component_id"))
-    final = scratch.keep(named.join(least, "comp").select("d1", "d2", "component_id"))
-    result = scratch.keep(every.join(final, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
+    final = named.join(least, "comp").select("rid", "component_id")
+    result = scratch.keep(every.join(final, "rid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
     return result
 
 
@@ -410,8 +425,8 @@ def one_per_class(documents: DataFrame, width: int = 5, num: int = 80, den: int
     classes = similar_documents(documents, width, num, den, text_key=True)
     named = classes.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
     alone = classes.where("n_shingles = 0 or (doc_id is null and component_id is null)").select("doc_id", "text_key")
-    none, taken = F.lit(-(1 << 63)), {c.lower() for c in documents.columns}
-    names = [next(x for i in range(len(taken) + 1) if (x := f"{c}_{i}") not in taken) for c in ("own_id", "own_null", "own_text")]
+    none, p = F.lit(-(1 << 63)), free_prefix(documents)
+    names = [f"{p}id", f"{p}null", f"{p}text"]
     stay = named.unionAll(alone).select(F.coalesce("doc_id", none).alias(names[0]), F.coalesce(F.col("doc_id").isNull(), F.lit(True)).alias(names[1]), F.col("text_key").alias(names[2])).distinct()
     doc_id = F.col("doc_id").cast("long")
     own = documents.withColumns(dict(zip(names, (F.coalesce(doc_id, none), doc_id.isNull(), F.xxhash64(F.col("text").cast("string"))), strict=True)))

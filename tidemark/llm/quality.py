@@ -1,10 +1,15 @@
 """Quality by hierarchical empirical Bayes: a document's own evidence, and what its host and path have shown so far.
 
-A logistic model on surface features, fitted on a bounded sample of labelled rows, gives each document a likelihood ratio.
+A logistic model, fitted on a bounded sample of labelled rows, gives each document a likelihood ratio. Its features are the
+shape of the text (symbols, capitals, digits, stops, repetition, lengths) and its words, as shares of 128 hashed cells.
 Grouped sums of the model's probabilities give each host's and each path's share of good documents; both are shrunk, a
 path towards its host, a host towards the corpus, the more the fewer documents there are. The strengths of the two priors
-are estimated from the spread of the shares themselves (method of moments). The posterior odds are the document's
+are estimated from the spread of the shares themselves (method of moments). A document's own probability is taken out of
+its host's and path's sums first, so that the same evidence doesn't count twice. The posterior odds are the document's
 likelihood ratio times its path's odds.
+
+Texts are measured twice, once for the sums and once for the rows: what would save it, a copy of the documents in the
+shared folder, would cost more.
 """
 
 from __future__ import annotations
@@ -18,10 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
+from .jaccard_join import word_hashes
+from .names import free_prefix
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
+_BYTES_AT_ONCE = 1_000_000
 _SYMBOLS, _DIGITS, _STOPS = b"#$%&*|!@^~<>{}[]=+_\\/", b"0123456789", b".,;:?"
-FEATURES = 11
+SHAPE, CELLS = 11, 128
+FEATURES = SHAPE + CELLS
 
 
 def surface_features(text: str | None) -> list[float]:
@@ -29,14 +38,31 @@ def surface_features(text: str | None) -> list[float]:
     b = (text or "").encode("utf-8", "surrogatepass")
     words = b.split()
     if not words:
-        return [0.0] * FEATURES
+        return [0.0] * SHAPE
     n, m = len(b), len(words)
     left = lambda chars: n - len(b.translate(None, chars))
     upper, lower, symbols = left(_UPPER), left(_LOWER), left(_SYMBOLS)
     again = sum(map(operator.eq, words, words[1:])) / m
-    marks = (symbols / m) ** 0.5
-    bars = (b.count(b" | ") / m) ** 0.5
-    return [1.0, marks, bars, upper / (upper + lower + 1), (upper / (upper + lower + 1)) ** 0.5, again**0.5, again, left(_DIGITS) / n, left(_STOPS) / m, len(set(words)) / m, np.log1p(m) / 10]
+    return [1.0, (symbols / m) ** 0.5, (b.count(b"\n") / m) ** 0.5, upper / (upper + lower + 1), (upper / (upper + lower + 1)) ** 0.5, again**0.5, again, left(_DIGITS) / n, left(_STOPS) / m, len(set(words)) / m, np.log1p(m) / 10]
+
+
+def features(texts: list[str | None]) -> np.ndarray:
+    """``surface_features`` and the square roots of the shares of words by 128 hashed cells; one row a text."""
+    out = np.zeros((len(texts), FEATURES))
+    lo = 0
+    while lo < len(texts):
+        hi, size, part = lo, 0, []
+        while hi < len(texts) and (size < _BYTES_AT_ONCE or hi == lo):
+            out[hi, :SHAPE] = surface_features(texts[hi])
+            part.append((texts[hi] or "").lower().encode("utf-8", "surrogatepass"))
+            size += len(part[-1])
+            hi += 1
+        starts, words = word_hashes(np.frombuffer(b" ".join(part) + b" ", np.uint8))
+        owner = np.searchsorted(np.cumsum([len(x) + 1 for x in part]), starts, side="right")
+        counts = np.bincount(owner * CELLS + (words >> np.uint64(57)).astype(np.int64), minlength=len(part) * CELLS).reshape(len(part), CELLS)
+        out[lo:hi, SHAPE:] = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
+        lo = hi
+    return out
 
 
 class EvidenceModel:
@@ -44,14 +70,15 @@ class EvidenceModel:
         self.weights, self.base = weights, base
 
     @classmethod
-    def fit(cls, features: np.ndarray, good: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> EvidenceModel:
+    def fit(cls, features: np.ndarray, good: np.ndarray, ridge: float = 0.1, rounds: int = 30, cells_ridge: float = 3.0) -> EvidenceModel:
         if not len(good) or good.min() == good.max():
             return cls(np.zeros(FEATURES + 1), 0.0)
         x = np.column_stack([np.ones(len(features)), features])
         w = np.zeros(x.shape[1])
+        ridges = np.where(np.arange(len(w)) <= SHAPE, ridge, cells_ridge)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(w)), x.T @ (good - p) - ridge * w)
+            step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(ridges), x.T @ (good - p) - ridges * w)
             w += step
             if np.abs(step).max() < 1e-6:
                 break
@@ -59,7 +86,7 @@ class EvidenceModel:
 
     def evidence(self, texts: pd.Series) -> np.ndarray:
         """Log likelihood ratio of good against bad; 0 for blank texts: only their site speaks for them."""
-        x = np.array([surface_features(t if isinstance(t, str) else None) for t in texts]).reshape(len(texts), FEATURES)
+        x = features([t if isinstance(t, str) else None for t in texts])
         out = np.column_stack([np.ones(len(x)), x]) @ self.weights - self.base
         return np.where(x[:, 0] > 0, np.clip(out, -20, 20), 0.0)
 
@@ -72,10 +99,10 @@ def fit_evidence(documents: DataFrame, labels: DataFrame, most_rows: int = 12_00
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"good": batch["_good"].astype(float), "x": [surface_features(t if isinstance(t, str) else None) for t in batch["text"]]})
+            yield pd.DataFrame({"good": batch["_good"].astype(float), "x": list(features([t if isinstance(t, str) else None for t in batch["text"]]))})
 
-    rows = docs.join(F.broadcast(chosen), "_id").mapInPandas(measured, "good double, x array<double>").toPandas()
-    x = np.array(rows["x"].tolist(), float).reshape(len(rows), FEATURES)
+    rows = docs.join(F.broadcast(chosen), "_id").mapInPandas(measured, "good double, x array<double>").toArrow()
+    x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(rows), FEATURES)
     return EvidenceModel.fit(x, rows["good"].to_numpy())
 
 
@@ -89,26 +116,34 @@ def _strength(shares: DataFrame, n: str, mean: str, within: str) -> float:
     return float(min(max(1 / between - 1, 1.0), 1000.0))
 
 
-def site_priors(scored: DataFrame, host: str, path: str, scratch: Scratch) -> DataFrame:
-    """host, path, prior: shrunk shares of good documents of every path. scored: those columns and ``p``."""
-    paths = scratch.keep(scored.groupBy(F.col(host).alias("_host"), F.col(path).alias("_path")).agg(F.count("*").alias("n"), F.sum("p").alias("s")))
+def site_sums(scored: DataFrame, host: str, path: str, scratch: Scratch) -> tuple[DataFrame, float, float, float]:
+    """Of every path: host, path, n and s (documents and sum of ``p``), hn and hs (its host's); the corpus's share of good
+    documents and the strengths of the host's and the path's prior. scored: the two columns and ``p``."""
+    paths = scratch.keep(scored.groupBy(F.col(host).alias("host"), F.col(path).alias("path")).agg(F.count("*").alias("n"), F.sum("p").alias("s")))
     whole = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     corpus = (whole["s"] + 1) / (whole["n"] + 2) if whole["n"] else 0.5
-    hosts = paths.groupBy("_host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs")).withColumn("top", F.lit(float(corpus)))
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs")).withColumn("top", F.lit(float(corpus)))
     k_host = _strength(hosts.withColumn("m", F.col("hs") / F.col("hn")), "hn", "m", "top")
-    hosts = hosts.withColumn("h", (F.col("hs") + k_host * corpus) / (F.col("hn") + k_host))
-    both = paths.join(hosts.select("_host", "h").withColumnRenamed("_host", "_h"), F.col("_host").eqNullSafe(F.col("_h")))
-    k_path = _strength(both.withColumn("m", F.col("s") / F.col("n")), "n", "m", "h")
-    return scratch.keep(both.select("_host", "_path", "h", ((F.col("s") + k_path * F.col("h")) / (F.col("n") + k_path)).alias("prior")))
+    both = scratch.keep(paths.join(hosts.select(F.col("host").alias("of"), "hn", "hs"), F.col("host").eqNullSafe(F.col("of"))).drop("of"))
+    h = (F.col("hs") + k_host * corpus) / (F.col("hn") + k_host)
+    k_path = _strength(both.withColumns({"m": F.col("s") / F.col("n"), "h": h}), "n", "m", "h")
+    return both, float(corpus), k_host, k_path
+
+
+def shrunk(own: Column | float, sums: dict[str, Column], corpus: float, k_host: float, k_path: float, out: int = 1) -> tuple[Column, Column]:
+    """The host's share of good documents and the path's prior without ``out`` documents whose probabilities sum to ``own``."""
+    host = (sums["hs"] - own + k_host * corpus) / (sums["hn"] - out + k_host)
+    return host, (sums["s"] - own + k_path * host) / (sums["n"] - out + k_path)
 
 
 def quality_posterior(documents: DataFrame, model: EvidenceModel, host: str = "source", path: str = "lang") -> DataFrame:
-    """``documents`` with ``_evidence``, ``_host_share``, ``_prior`` and ``_quality``, the posterior probability of good.
+    """``documents`` with ``_evidence``, ``_host_share``, ``_prior`` and ``_quality``, the posterior probability of good. Where
+    ``documents`` has such names, see ``free_prefix``.
 
-    A null host or path is a site of its own. Blank and null texts have no evidence, so they get their site's share.
-    Repeated rows count each. No documents: no rows.
+    A null host or path is a site of its own. Blank and null texts have no evidence, so they get their site's share. Long texts
+    are measured whole. Repeated rows count each, and get equal values. No documents: no rows.
     """
-    scratch = Scratch(documents.sparkSession)
+    scratch, c = Scratch(documents.sparkSession), free_prefix(documents)
 
     @F.pandas_udf("double")
     def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -118,11 +153,14 @@ def quality_posterior(documents: DataFrame, model: EvidenceModel, host: str = "s
     def logistic(x: Column) -> Column:
         return 1 / (1 + F.exp(-x))
 
-    read = documents.select(F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"), evidence(F.col("text").cast("string")).alias("e"))
-    priors = site_priors(read.withColumn("p", logistic(F.col("e") + model.base)), "_host", "_path", scratch)
-    sites = priors.select(F.coalesce("_host", F.lit("")).alias("_h1"), F.col("_host").isNull().alias("_h2"), F.coalesce("_path", F.lit("")).alias("_p1"), F.col("_path").isNull().alias("_p2"), F.col("h").alias("_host_share"), F.col("prior").alias("_prior"))
-    mine = documents.withColumn("_evidence", evidence(F.col("text").cast("string")))
     h, p = F.col(host).cast("string"), F.col(path).cast("string")
-    mine = mine.withColumns({"_h1": F.coalesce(h, F.lit("")), "_h2": h.isNull(), "_p1": F.coalesce(p, F.lit("")), "_p2": p.isNull()})
-    out = mine.join(sites, ["_h1", "_h2", "_p1", "_p2"], "left").drop("_h1", "_h2", "_p1", "_p2")
-    return out.withColumn("_quality", logistic(F.col("_evidence") + F.log(F.col("_prior") / (1 - F.col("_prior")))))
+    read = documents.select(h.alias("host"), p.alias("path"), evidence(F.col("text").cast("string")).alias("e"))
+    both, corpus, k_host, k_path = site_sums(read.withColumn("p", logistic(F.col("e") + model.base)), "host", "path", scratch)
+    keys = {f"{c}h1": F.coalesce(h, F.lit("")), f"{c}h2": h.isNull(), f"{c}p1": F.coalesce(p, F.lit("")), f"{c}p2": p.isNull()}
+    sites = both.select(F.coalesce("host", F.lit("")).alias(f"{c}h1"), F.col("host").isNull().alias(f"{c}h2"), F.coalesce("path", F.lit("")).alias(f"{c}p1"), F.col("path").isNull().alias(f"{c}p2"), *[F.col(x).alias(f"{c}{x}") for x in ("n", "s", "hn", "hs")])
+    mine = documents.withColumns(keys | {f"{c}evidence": evidence(F.col("text").cast("string"))}).join(sites, list(keys), "left")
+    share, prior = shrunk(logistic(F.col(f"{c}evidence") + model.base), {x: F.col(f"{c}{x}") for x in ("n", "s", "hn", "hs")}, corpus, k_host, k_path)
+    least = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1 - 1e-9))
+    out = mine.withColumns({f"{c}host_share": least(share), f"{c}prior": least(prior)})
+    out = out.withColumn(f"{c}quality", logistic(F.col(f"{c}evidence") + F.log(F.col(f"{c}prior") / (1 - F.col(f"{c}prior")))))
+    return out.select(*documents.columns, f"{c}evidence", f"{c}host_share", f"{c}prior", f"{c}quality")

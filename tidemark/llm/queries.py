@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embedding_dedup, jaccard_join, media, mixing, packing, quality, sharding, token_counts, toxicity, url_filters
+from .names import free_prefix
 
 ALLOW = ["org/", "com/fr/"]
 BLOCK = ["example.org/es/", "example.org/en/1", "com/de/"]
@@ -41,8 +42,8 @@ def op4_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit_evidence(docs, _table(spark, sf_dir, "labels"))
-    out = quality.quality_posterior(docs, model)
-    return out.select("doc_id", "source", "lang", F.col("_evidence").alias("evidence"), F.col("_host_share").alias("host_share"), F.col("_prior").alias("prior"), F.col("_quality").alias("quality"), (F.col("_quality") >= 0.5).alias("kept"))
+    out, p = quality.quality_posterior(docs, model), free_prefix(docs)
+    return out.select("doc_id", "source", "lang", *[F.col(f"{p}{x}").alias(x) for x in ("evidence", "host_share", "prior", "quality")], (F.col(f"{p}quality") >= 0.5).alias("kept"))
 
 
 def op6_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +56,15 @@ def op7_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    out = toxicity.toxicity(docs, toxicity.fit_index(docs, _table(spark, sf_dir, "labels")))
-    return out.select("doc_id", toxicity.held_out().alias("held_out"), F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.7).cast("int").alias("predicted"), F.col("_evidence_ids").alias("evidence_ids"))
+    out, p = toxicity.toxicity(docs, toxicity.fit_index(docs, _table(spark, sf_dir, "labels"))), free_prefix(docs)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), F.col(f"{p}toxicity").alias("score"), (F.col(f"{p}toxicity") >= 0.7).cast("int").alias("predicted"), F.col(f"{p}evidence_ids").alias("evidence_ids"))
 
 
 def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.mixing_probabilities(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"), F.col("_probability").alias("probability"), F.col("_drawn").alias("drawn"), F.col("_gap").alias("marginal_gap"))
+    docs = _table(spark, sf_dir, "documents")
+    out, p = mixing.mixing_probabilities(docs), free_prefix(docs)
+    names = {"topic": "topic", "tokens": "n_tokens", "weight": "weight", "probability": "probability", "drawn": "drawn", "gap": "marginal_gap", "budget": "budget"}
+    return out.select("doc_id", "source", "lang", *[F.col(f"{p}{x}").alias(name) for x, name in names.items()])
 
 
 def op10_pivot_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

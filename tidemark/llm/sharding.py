@@ -4,9 +4,9 @@ Every pass counts the exact rows and bytes between candidate boundaries of the k
 a shard boundary crosses, or that hold too many rows for one task, get new probes inside them; the others are final.
 When every boundary is within the tolerance, the rows are exchanged once, by interval. DataFrame operations only.
 
-The driver holds the intervals: at most ``probes`` a refined interval, and an interval is refined only while it holds
-over 2 / ``probes`` of the rows or a boundary. So its list is bounded whatever the input's size. A key that holds a
-third of all rows is split by the later key parts and at last by a row number, so no task gets it whole.
+No interval, and so no task, keeps more than ``most_rows`` rows. The driver holds the intervals, a few for each ``most_rows``
+rows and ``probes`` for each boundary. A key that holds a third of all rows is split by the later key parts and at last by
+a row number, so no task gets it whole; a group of equal keys lies in one shard unless it outweighs the tolerance.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.work import Scratch
+from .names import free_prefix
 
 _LEAST = -(1 << 63)
 
@@ -30,16 +31,16 @@ def _parts(keys: list[Column]) -> list[Column]:
     return out
 
 
-def histogram_shards(df: DataFrame, key: list[str], size: str, shards: int = 8, tolerance: float = 0.001, probes: int = 1024) -> DataFrame:
+def histogram_shards(df: DataFrame, key: list[str], size: str, shards: int = 8, tolerance: float = 0.001, probes: int = 1024, most_rows: int = 4_000_000) -> DataFrame:
     """``df`` with ``shard`` int (0 to shards - 1) and ``slot`` long (gapless from 0 in each shard, in key order).
 
     key: long columns (null sorts first). size: a column of sizes, null counts as 0. Shards differ from the mean by
     ``tolerance`` of it, or by one row where a row is larger. Rows with equal keys lie together, and are split between
     shards only where they outweigh the tolerance. Repeated rows are kept, each with its own slot. No rows: no rows.
     """
-    taken = set(df.columns)
-    own = lambda name: next(x for i in range(99) if (x := f"_{name}{i}") not in taken)
-    part, node, weight = own("part"), own("node"), own("weight")
+    p = free_prefix(df)
+    part, node, weight, of_at, first = (f"{p}{x}" for x in ("part", "node", "weight", "of", "first"))
+    step_at, lo_at, width_at, base_at = (f"{p}{x}" for x in ("at", "lo", "width", "base"))
     spark, scratch = df.sparkSession, Scratch(df.sparkSession)
     keys = [F.coalesce(F.col(k).cast("long"), F.lit(_LEAST)) for k in key] + [F.monotonically_increasing_id()]
     rows = scratch.keep(df.select("*", F.array(*_parts(keys)).alias(part), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(weight)))
@@ -49,25 +50,27 @@ def histogram_shards(df: DataFrame, key: list[str], size: str, shards: int = 8,
         ends = [f(F.col(part)[i]).alias(f"{name}{i}") for i in range(n_parts) for f, name in ((F.min, "lo"), (F.max, "hi"))]
         return at.groupBy(node).agg(F.count("*").alias("n"), F.sum(weight).alias("b"), *ends).orderBy(node).collect()
 
+    step = F.floor((F.element_at(part, F.col(step_at)) - F.col(lo_at)) / F.col(width_at)).cast("long")
+
     def refined(at: DataFrame, probe: DataFrame) -> DataFrame:
-        step = F.floor((F.element_at(part, F.col("_at")) - F.col("_lo")) / F.col("_width")).cast("long")
-        return at.join(F.broadcast(probe), F.col(node) == F.col("_of")).withColumn(node, F.col("_base") + step).drop("_of", "_at", "_lo", "_width", "_base")
+        return at.join(F.broadcast(probe), F.col(node) == F.col(of_at)).withColumn(node, F.col(base_at) + step).drop(of_at, step_at, lo_at, width_at, base_at)
 
     root = rows.withColumn(node, F.lit(0).cast("long"))
     leaves = counted(root)
     if not leaves:
         return rows.select(*df.columns, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     total, n_rows, goal = leaves[0]["b"], leaves[0]["n"], max(1.0, leaves[0]["b"] / shards)
-    most, near, next_id, final, open_rows, levels = max(2 * n_rows // probes, 64), tolerance * goal, 1, [], root, []
+    most, near, next_id, final, open_rows, levels = max(min(2 * n_rows // probes, most_rows), 64), tolerance * goal, 1, [], root, []
     while True:
         seen, probe, order = 0, [], []
         for x in leaves:
             crossed = int(seen // goal) != int(min(seen + x["b"], total - 1) // goal) and x["b"] > near
             at = next((i for i in range(n_parts) if x[f"lo{i}"] != x[f"hi{i}"]), None)
             if x["n"] > 1 and at is not None and (x["n"] > most or crossed):
-                lo, width = x[f"lo{at}"], (x[f"hi{at}"] - x[f"lo{at}"]) // probes + 1
+                n_probes = probes if crossed or len(leaves) == 1 else min(probes, 2 + 4 * x["n"] // most)
+                lo, width = x[f"lo{at}"], (x[f"hi{at}"] - x[f"lo{at}"]) // n_probes + 1
                 probe.append((x[node], at + 1, lo, width, next_id))
-                next_id += probes
+                next_id += n_probes
                 order.append((x[node], None))
             else:
                 order.append((x[node], x))
@@ -75,7 +78,7 @@ def histogram_shards(df: DataFrame, key: list[str], size: str, shards: int = 8,
         final = order
         if not probe:
             break
-        frame = spark.createDataFrame(probe, "_of long, _at int, _lo long, _width long, _base long")
+        frame = spark.createDataFrame(probe, f"{of_at} long, {step_at} int, {lo_at} long, {width_at} long, {base_at} long")
         levels.append(frame)
         open_rows = refined(open_rows, frame)
         children: dict[int, list] = {}
@@ -91,12 +94,10 @@ def histogram_shards(df: DataFrame, key: list[str], size: str, shards: int = 8,
         seen += x["b"]
     placed = root
     for frame in levels:  # a row goes down until its interval is final
-        step = F.floor((F.element_at(part, F.col("_at")) - F.col("_lo")) / F.col("_width")).cast("long")
-        placed = placed.join(F.broadcast(frame), F.col(node) == F.col("_of"), "left").withColumn(node, F.coalesce(F.col("_base") + step, F.col(node))).drop("_of", "_at", "_lo", "_width", "_base")
-    placed = placed.join(F.broadcast(spark.createDataFrame(table, f"{node} long, shard int, _first long")), node)
+        placed = placed.join(F.broadcast(frame), F.col(node) == F.col(of_at), "left").withColumn(node, F.coalesce(F.col(base_at) + step, F.col(node))).drop(of_at, step_at, lo_at, width_at, base_at)
+    placed = placed.join(F.broadcast(spark.createDataFrame(table, f"{node} long, shard int, {first} long")), node)
     rank = F.row_number().over(Window.partitionBy(node).orderBy(*[F.col(part)[i] for i in range(n_parts)]))
-    return placed.select(*df.columns, "shard", (F.col("_first") + rank - 1).cast("long").alias("slot"))
-
+    return placed.select(*df.columns, "shard", (F.col(first) + rank - 1).cast("long").alias("slot"))
 
 
 def text_shards(documents: DataFrame, shards: int = 8) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
 from .jaccard_join import byte_hashes, word_hashes
+from .names import free_prefix
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
@@ -253,8 +254,8 @@ class ToxicIndex:
 
 
 def held_out(doc_id: str = "doc_id"):
-    """Rows whose labels are never learned from."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+    """Rows whose labels are never learned from; a null doc_id has no label to learn from and counts as not held out."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, most_clean: int = 5000, k: int = 15) -> ToxicIndex:
@@ -266,7 +267,9 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
 
     spark, classes = documents.sparkSession, (totals.get(0, 0), totals.get(1, 0))
-    sample = Scratch(spark).keep(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
+    scratch = Scratch(spark)
+    sample_path = scratch.write(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
+    sample = spark.read.parquet(sample_path)
     n = {int(r["_toxic"]): r["count"] for r in sample.groupBy("_toxic").count().collect()}
     if not n.get(1) or not n.get(0):
         return ToxicIndex({}, [(int(r["_id"]), int(r["_toxic"]), {}) for r in sample.select("_id", "_toxic").collect()], classes, k)
@@ -279,13 +282,13 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
             ends = {y: np.unique(np.concatenate(rows[y]), return_counts=True) for y in (0, 1)}
             yield pd.concat([pd.DataFrame({"term": ends[y][0], "t": ends[y][1] * y, "c": ends[y][1] * (1 - y)}) for y in (0, 1)])
 
-    seen = sample.mapInPandas(counted, "term long, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toPandas()
-    seen = seen.sort_values("term", ignore_index=True)
-    t, c, total = seen["t"].to_numpy(float), seen["c"].to_numpy(float), float(n[0] + n[1])
+    seen = sample.mapInPandas(counted, "term long, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()
+    terms, t, c = (seen[x].to_numpy() for x in ("term", "t", "c"))
+    order = np.argsort(terms)
+    terms, t, c, total = terms[order], t[order].astype(float), c[order].astype(float), float(n[0] + n[1])
     # the 2 x 2 table's chi-square, of terms that toxic rows have more often; it adds weight and drops no term
     diff = np.maximum(t * (n[0] - c) - c * (n[1] - t), 0)
     chi = total * diff * diff / np.maximum(float(n[0]) * n[1] * (t + c) * (total - t - c), 1)
-    terms = seen["term"].to_numpy(np.int64)
     shared = spark.sparkContext.broadcast(terms)
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,15 +318,17 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     df = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in sorted(parts, key=lambda r: r["slice"])]) if parts else np.zeros(len(terms) + 1)
     weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (1 + chi)
     del seen, parts, df, t, c, diff, chi
-    own = sample.mapInPandas(numbered, "_id long, _toxic int, at binary, tf binary").toPandas()
-    examples = [(int(i), int(y), (np.frombuffer(at, "<i4"), np.frombuffer(tf, "<i4"))) for i, y, at, tf in zip(own["_id"], own["_toxic"], own["at"], own["tf"], strict=True)]
+    own = sample.mapInPandas(numbered, "_id long, _toxic int, at binary, tf binary").toArrow()
+    examples = [(i.as_py(), y.as_py(), (np.frombuffer(at.as_buffer(), "<i4"), np.frombuffer(tf.as_buffer(), "<i4"))) for i, y, at, tf in zip(own["_id"], own["_toxic"], own["at"], own["tf"], strict=True)]
     shared.destroy()
+    scratch.drop(sample_path)
     del own
     return ToxicIndex((terms, weights), examples, classes, k)
 
 
 def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
-    """``documents`` with ``_toxicity`` (0 to 1) and ``_evidence_ids`` (nearest examples); whole texts, no shuffle.
+    """``documents`` with ``_toxicity`` (0 to 1) and ``_evidence_ids`` (nearest examples); whole texts, no shuffle. Where
+    ``documents`` has such names, see ``free_prefix``. Long texts are searched like others. No documents: no rows.
 
     Null and empty texts, and texts without any term of an example, get the share of toxic rows among blank examples. Repeated rows
     get equal scores. Without labels of both classes every score is that share.
@@ -336,7 +341,6 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
             out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
-    taken = {c.lower() for c in documents.columns}
-    both = next(x for i in range(len(taken) + 1) if (x := f"toxic_score_{i}") not in taken)
-    out = documents.withColumn(both, scored(F.col("text").cast("string")))
-    return out.withColumns({"_toxicity": F.col(f"{both}.score"), "_evidence_ids": F.col(f"{both}.ids")}).drop(both)
+    p = free_prefix(documents)
+    out = documents.withColumn(f"{p}both", scored(F.col("text").cast("string")))
+    return out.withColumns({f"{p}toxicity": F.col(f"{p}both.score"), f"{p}evidence_ids": F.col(f"{p}both.ids")}).drop(f"{p}both")
