@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, mixing, packing, quality, toxicity
+from tidemark.llm.names import free_prefix
 from tidemark.sources.work import Scratch
 
 MINIMUM_QUALITY, TOXIC_FROM, MIX_BUDGET = 0.5, 0.7, 0.8
@@ -20,13 +21,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior probability of good quality is at least ``MINIMUM_QUALITY``."""
     model = quality.fit_evidence(docs, _labels(spark, sf_dir))
-    return quality.quality_posterior(docs, model).where(F.col("_quality") >= MINIMUM_QUALITY).select(*docs.columns)
+    return quality.quality_posterior(docs, model).where(F.col(f"{free_prefix(docs)}quality") >= MINIMUM_QUALITY).select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC_FROM``."""
     index = toxicity.fit_index(docs, _labels(spark, sf_dir))
-    return toxicity.toxicity(docs, index).where(F.col("_toxicity") < TOXIC_FROM).select(*docs.columns)
+    return toxicity.toxicity(docs, index).where(F.col(f"{free_prefix(docs)}toxicity") < TOXIC_FROM).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their calibrated probabilities."""
-    return mixing.mixing_probabilities(docs, budget=MIX_BUDGET).where("_drawn").select(*docs.columns)
+    return mixing.mixing_probabilities(docs, budget=MIX_BUDGET).where(F.col(f"{free_prefix(docs)}drawn")).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
