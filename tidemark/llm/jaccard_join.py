@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .batches import short_batches
 from .components import components
 from .names import free_prefix
 from ..sources.work import Scratch
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 1_000_000
-_SIGNATURES_AT_ONCE = 500_000
+_SIGNATURES_AT_ONCE = 1_000_000
 _FILTER_BITS = 1 << 25
 
 
@@ -262,8 +263,8 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
             if wanted is not None:
                 key = batch["doc_id"].fillna(-1).to_numpy(np.int64)
                 batch = batch[wanted.value[_slots(key, len(wanted.value))]]
-            for lo in range(0, len(batch), 1000):
-                part = batch.iloc[lo : lo + 1000]
+            for lo in range(0, len(batch), 500):
+                part = batch.iloc[lo : lo + 500]
                 sets = shingle_sets([t if isinstance(t, str) else None for t in part["text"]], width)
                 out = pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").array, "n": [len(s) for s in sets], "rid": [_digest(s) for s in sets], "text_key": part["text_key"].array, column: [(sign.signatures(s) if sign else s) if len(s) else s for s in sets]})
                 if sign:
@@ -297,22 +298,32 @@ def _wanted(ids: DataFrame, size: int):
 def _packed(own: DataFrame, buckets: int) -> DataFrame:
     """bucket, sigs, rids: the signatures of many sets, by bucket, and the set of each."""
 
+    def packed(names: list[np.ndarray], sigs: list[np.ndarray]) -> pd.DataFrame:
+        rows, first = np.unique(np.concatenate(names), return_index=True)
+        sigs = [sigs[i] for i in first]
+        sig = _mix(np.concatenate(sigs).astype(np.int64).view(np.uint64) * _M2 + _GOLD)
+        rid = np.repeat(rows, [len(x) for x in sigs])
+        bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, bits = bucket[order], (sig[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        return pd.DataFrame({"bucket": bucket[cut], "sigs": np.split(bits, cut[1:]), "rids": np.split(rid[order], cut[1:])})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names: list[np.ndarray] = []
+        sigs: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            rows, first = np.unique(batch["rid"].to_numpy(np.int64), return_index=True)
-            sigs = batch["sigs"].iloc[first].tolist()
-            sizes = np.cumsum([len(x) for x in sigs])
-            lo = 0
-            while lo < len(rows):
-                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + _SIGNATURES_AT_ONCE)))
-                sig = _mix(np.concatenate(sigs[lo:hi]).astype(np.int64).view(np.uint64) * _M2 + _GOLD)
-                rid = np.repeat(rows[lo:hi], [len(x) for x in sigs[lo:hi]])
-                bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, bits = bucket[order], (sig[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                yield pd.DataFrame({"bucket": bucket[cut], "sigs": np.split(bits, cut[1:]), "rids": np.split(rid[order], cut[1:])})
-                lo = hi
+            for lo in range(0, len(batch), 200):
+                part = batch["sigs"].iloc[lo : lo + 200].tolist()
+                names.append(batch["rid"].iloc[lo : lo + 200].to_numpy(np.int64))
+                sigs += part
+                size += sum(map(len, part))
+                if size >= _SIGNATURES_AT_ONCE:
+                    yield packed(names, sigs)
+                    names, sigs, size = [], [], 0
+        if sigs:
+            yield packed(names, sigs)
 
     return own.mapInPandas(run, "bucket long, sigs array<int>, rids array<long>")
 
@@ -356,6 +367,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     by links, the document itself included. Without words (null or blank text) a document is linked with nothing. Repeated
     rows are copies, each with its row. A null doc_id stays null and never names a component that has another id.
     """
+    short_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession)
     text = F.col("text").cast("string")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
@@ -365,8 +377,8 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     sets = scratch.keep(some.groupBy("rid").agg(F.min("doc_id").alias("lo")))
     sketches = scratch.keep(some.select("rid", "n", *_SKETCH, "counts").dropDuplicates(["rid"]))
     every = scratch.keep(signed.select("doc_id", "n", "rid", "text_key"))
-    buckets = 16 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    met = _packed(some.select("rid", "sigs"), buckets).repartition("bucket").select("bucket", F.explode(F.arrays_zip("sigs", "rids")).alias("x"))
+    partitions = 4 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    met = _packed(some.select("rid", "sigs"), 4 * partitions).repartition(partitions, "bucket").select("bucket", F.explode(F.arrays_zip("sigs", "rids")).alias("x"))
     shown = met.select("bucket", F.col("x.sigs").alias("bits"), F.col("x.rids").alias("rid"))
     order = Window.partitionBy("bucket", "bits").orderBy(F.xxhash64("bits", "rid"))
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
+from .batches import short_batches
 from .jaccard_join import word_hashes
 from .names import free_prefix
 
@@ -93,6 +94,7 @@ class EvidenceModel:
 
 def fit_evidence(documents: DataFrame, labels: DataFrame, most_rows: int = 12_000) -> EvidenceModel:
     """Fits on at most ``most_rows`` labelled rows, chosen by a hash of doc_id; null labels and ids are left out."""
+    short_batches(documents.sparkSession)
     chosen = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("quality").alias("_good"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
@@ -143,6 +145,7 @@ def quality_posterior(documents: DataFrame, model: EvidenceModel, host: str = "s
     A null host or path is a site of its own. Blank and null texts have no evidence, so they get their site's share. Long texts
     are measured whole. Repeated rows count each, and get equal values. No documents: no rows.
     """
+    short_batches(documents.sparkSession)
     scratch, c = Scratch(documents.sparkSession), free_prefix(documents)
 
     @F.pandas_udf("double")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
+from .batches import short_batches
 from .jaccard_join import byte_hashes, word_hashes
 from .names import free_prefix
 
@@ -109,7 +110,7 @@ class ToxicIndex:
         own = [sum(1 for x in examples if x[1] == c) for c in (0, 1)]
         self.scale = np.array([class_rows[c] / own[c] if own[c] else 0.0 for c in (0, 1)])
         rows = [(i, y, *self._numbered(counts)) for i, y, counts in sorted(examples, key=lambda x: x[0])]
-        kept = [x for x in rows if len(x[2])]
+        kept = self._grouped([x for x in rows if len(x[2])])
         self.ids = [x[0] for x in kept]
         self.labels = np.array([x[1] for x in kept], float)
         blank = [self.scale[x[1]] for x in rows if not len(x[2])]
@@ -121,6 +122,22 @@ class ToxicIndex:
         votes = [self._vote(near) for s in range(0, len(kept), _BATCH) for near in self._search([self.vector(x[2:]) for x in kept[s : s + _BATCH]], range(s, s + _BATCH))]
         self._calibrate(np.array([v for v, _ in votes]))
 
+    def _grouped(self, kept: list, groups: int = 16, cells: int = 64) -> list:
+        """Examples in an order that lays like ones together, so that blocks' largest weights are tight: k-means of their
+        weights by hashed cells of terms."""
+        if len(kept) <= groups * self.block:
+            return kept
+        x = np.stack([np.bincount(at * 40503 % 65521 % cells, self._weights(at, tf), cells) for _, _, at, tf in kept])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        centre = x[:1]
+        while len(centre) < groups:
+            centre = np.concatenate([centre, x[[(x @ centre.T).max(axis=1).argmin()]]])
+        for _ in range(8):
+            own = (x @ centre.T).argmax(axis=1)
+            centre = np.stack([x[own == g].sum(axis=0) if (own == g).any() else centre[g] for g in range(groups)])
+            centre /= np.linalg.norm(centre, axis=1, keepdims=True)
+        return [kept[i] for i in np.argsort((x @ centre.T).argmax(axis=1), kind="stable")]
+
     def _post(self, kept: list) -> None:
         """Postings by term. Those of common terms are rows of a matrix, with their largest weight in each block."""
         self.n_blocks = max(1, -(-len(kept) // self.block))
@@ -137,12 +154,14 @@ class ToxicIndex:
         self.row[common] = np.arange(len(common))
         often = self.row[term] >= 0
         self.often = term[often], tf[often], example[often]
-        self._fill()
         order = np.argsort(term[~often], kind="stable")
         self.example, self.tf = example[~often][order], tf[~often][order]
+        self.place = np.argsort(np.argsort([x[0] for x in kept], kind="stable"), kind="stable")
         self.start = np.concatenate([[0], np.cumsum(np.where(self.row >= 0, 0, n))])
+        self._fill()
 
     def _fill(self) -> None:
+        self.share = self.log[self.tf] * np.repeat(self.idf, np.diff(self.start)) / self.norm[self.example]
         self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, self.n_blocks * self.block))
         for s in range(0, len(self.often[0]), 100_000):
             term, tf, example = (x[s : s + 100_000] for x in self.often)
@@ -150,7 +169,7 @@ class ToxicIndex:
         self.most = self.dense.reshape(len(self.dense), self.n_blocks, self.block).max(axis=2)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "most")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "most", "share")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -187,7 +206,7 @@ class ToxicIndex:
             n = self.start[rare + 1] - self.start[rare]
             if total := int(n.sum()):
                 pick = np.repeat(self.start[rare] - np.cumsum(n) + n, n) + np.arange(total)
-                score[q] = np.bincount(self.example[pick], self.log[self.tf[pick]] * np.repeat(own * self.idf[rare], n), width) / self.norm
+                score[q] = np.bincount(self.example[pick], self.share[pick] * np.repeat(own, n), width)
         # rare terms are summed up; what common ones can add in a block is bounded by their largest weights there
         bound = often @ self.most + score.reshape(len(queries), self.n_blocks, self.block).max(axis=2)
         done, left = np.full((len(queries), width), -1.0), dict(enumerate(leave))
@@ -197,18 +216,19 @@ class ToxicIndex:
             here = slice(blk * self.block, (blk + 1) * self.block)
             if len(q := np.flatnonzero((bound[:, blk] > 0) & (bound[:, blk] >= least - 1e-12))):
                 done[q, here] = score[q, here] + (often if len(q) == len(often) else often[q]) @ self.dense[:, here]
-                if i in (3, 15, 47) and width > self.k:  # one more than k, as a query's own row may be left out
-                    least = np.maximum(least, np.partition(done, width - self.k - 1, axis=1)[:, width - self.k - 1])
+            if i in (3, 15, 47) and (i + 1) * self.block > self.k:  # one more than k, as a query's own row may be left out
+                seen = (turn[: i + 1, None] * self.block + np.arange(self.block)).ravel()
+                least = np.maximum(least, np.partition(done[:, seen], len(seen) - self.k - 1, axis=1)[:, len(seen) - self.k - 1])
         found = []
         for q, whole in enumerate(done):
-            s = np.round(whole, 12)
-            if q in left and left[q] < width:
-                s[left[q]] = -1
-            if width > self.k:
-                top = np.flatnonzero(s >= max(np.partition(s, width - self.k)[width - self.k], 1e-12))
-            else:
-                top = np.flatnonzero(s > 0)
-            top = top[np.argsort(-s[top], kind="stable")][: self.k]
+            top = np.flatnonzero(whole >= max(least[q] - 1e-9, 1e-12))
+            if q in left:
+                top = top[top != left[q]]
+            s = np.round(whole[top], 12)
+            if len(s) > self.k:
+                near = s >= np.partition(s, len(s) - self.k)[len(s) - self.k]
+                top, s = top[near], s[near]
+            top = top[np.lexsort((self.place[top], -s))][: self.k]
             found.append(list(zip(whole[top].tolist(), top.tolist(), strict=True)))
         return found
 
@@ -220,7 +240,8 @@ class ToxicIndex:
         if not near:
             return -1.0, near
         i = [x[1] for x in near]
-        c = np.round([x[0] for x in near], 12) ** 2  # repeated rows in other batches differ in the last bits * self.scale[self.labels[i].astype(int)]
+        # rounded, as repeated rows in other batches differ in the last bits
+        c = np.round([x[0] for x in near], 12) ** 2 * self.scale[self.labels[i].astype(int)]
         return float((c * self.labels[i]).sum() / c.sum()), near
 
     def _calibrate(self, votes: np.ndarray) -> None:
@@ -267,6 +288,7 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
 
     spark, classes = documents.sparkSession, (totals.get(0, 0), totals.get(1, 0))
+    short_batches(spark)
     scratch = Scratch(spark)
     sample_path = scratch.write(docs.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
     sample = spark.read.parquet(sample_path)
@@ -341,6 +363,7 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
             out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
+    short_batches(documents.sparkSession)
     p = free_prefix(documents)
     out = documents.withColumn(f"{p}both", scored(F.col("text").cast("string")))
     return out.withColumns({f"{p}toxicity": F.col(f"{p}both.score"), f"{p}evidence_ids": F.col(f"{p}both.ids")}).drop(f"{p}both")
