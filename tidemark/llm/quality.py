@@ -153,6 +153,9 @@ def quality_posterior(documents: DataFrame, model: EvidenceModel, host: str = "s
         for s in texts:
             yield pd.Series(model.evidence(s))
 
+    # or a later condition on the result would be pushed below the join, with an evaluation of its own
+    evidence = evidence.asNondeterministic()
+
     def logistic(x: Column) -> Column:
         return 1 / (1 + F.exp(-x))
 

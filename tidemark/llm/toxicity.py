@@ -363,6 +363,7 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
             out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
+    scored = scored.asNondeterministic()  # or conditions on the score could evaluate it twice
     short_batches(documents.sparkSession)
     p = free_prefix(documents)
     out = documents.withColumn(f"{p}both", scored(F.col("text").cast("string")))
