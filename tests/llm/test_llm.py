@@ -190,14 +190,15 @@ def test_signatures_find_every_similar_pair():
     rng = np.random.default_rng(2)
     for num, parts, spared in ((90, 3, 1), (80, 3, 1), (80, 2, 1), (90, 4, 2)):
         sign = jaccard_join.PartEnum(num, 100, parts, spared)
-        for n in (1, 2, 5, 9, 20, 60, 300):
+        for n in (1, 2, 5, 9, 20, 60, 300, 3000):
             for _ in range(20):
                 a = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
                 swap = int(rng.integers(0, n // 4 + 1))
                 b = np.unique(np.concatenate([a[swap:], rng.integers(-(1 << 62), 1 << 62, int(rng.integers(0, swap + 1)))]))
                 k = len(np.intersect1d(a, b))
                 if 100 * k >= num * (len(a) + len(b) - k):
-                    assert len(np.intersect1d(sign.signatures(a), sign.signatures(b)))
+                    need = 2 * (100 - num) * max(len(a), len(b)) // (100 + num) // (spared + 1) + 1
+                    assert len(np.intersect1d(sign.signatures(a), sign.signatures(b))) >= need // 16 + 1
 
 
 def test_components(spark):

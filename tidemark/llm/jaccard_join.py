@@ -3,7 +3,8 @@
 Sets of a size band can differ in at most k elements if their Jaccard similarity reaches the threshold. The domain of
 shingles is partitioned by a hash into groups, each group into ``parts`` parts; a signature is a set's projection on a
 subset of ``parts - spared`` parts of one group. If k differences fall on more groups than they can spoil, similar sets
-share a signature. Spare groups let sets leave out the signatures of empty projections, which all sets would share.
+share a signature. Spare groups let sets leave out the signatures of empty projections, which all sets would share. Larger sets get
+one more group for each 16 needed: similar ones then share that many signatures more, and pairs that share fewer are not.
 
 Copies (equal shingle sets) become one set first. Candidates are then verified exactly, in two steps that both lose no
 class: sets that share a signature are chained in an order dealt by hash, a link a set and signature instead of all
@@ -41,6 +42,7 @@ _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB),
 _BYTES_AT_ONCE = 1_000_000
 _SIGNATURES_AT_ONCE = 1_000_000
 _FILTER_BITS = 1 << 25
+_MORE = 16
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -160,7 +162,7 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * _LANES) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
-_LONG = 1000
+_LONG = 2000
 
 
 def _histogram(s: np.ndarray) -> np.ndarray | None:
@@ -220,9 +222,14 @@ class PartEnum:
         top = self.tops[band]
         most = (self.den - self.num) * 2 * top // (self.den + self.num)  # |r| + |s| <= 2 top bounds the differences
         need = most // (self.spared + 1) + 1
-        mean = top / (need * self.parts) * (self.parts - self.spared)
+        mean = top / ((need + need // _MORE) * self.parts) * (self.parts - self.spared)
         spare = int(np.ceil(need * len(self.subsets) * np.exp(-mean) * 2)) + 1 if most else 0
-        return need + spare, spare
+        return need + need // _MORE + spare, spare
+
+    def least_shared(self, n):
+        """Column: how many signatures two similar sets share at least, the larger of size n."""
+        need = F.floor(F.floor(F.lit(2 * (self.den - self.num)) * n / F.lit(self.den + self.num)) / F.lit(self.spared + 1)) + 1
+        return F.floor(need / F.lit(_MORE)) + 1
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         band = self.band(len(s))
@@ -371,7 +378,8 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     scratch = Scratch(documents.sparkSession)
     text = F.col("text").cast("string")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    signed_path = scratch.write(_as_frame(rows, width, PartEnum(num, den, parts, spared)))
+    sign = PartEnum(num, den, parts, spared)
+    signed_path = scratch.write(_as_frame(rows, width, sign))
     signed = documents.sparkSession.read.parquet(signed_path)
     some = signed.where("n > 0")
     sets = scratch.keep(some.groupBy("rid").agg(F.min("doc_id").alias("lo")))
@@ -386,10 +394,12 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     shared_path = scratch.write(chained.where("prev <> rid or next <> rid").select(sig, "rid", "prev"))
     shared = documents.sparkSession.read.parquet(shared_path)
     scratch.drop(signed_path)
-    pairs = scratch.keep(shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b")).distinct())
+    ends = shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b"))
+    pairs = scratch.keep(ends.groupBy("a", "b").agg(F.count("*").alias("met")))
     short = sketches.select("rid", "n", *[_folded(i) for i in range(len(_FOLDED))])
     near = pairs.join(short.alias("x"), F.col("a") == F.col("x.rid")).join(short.alias("y"), F.col("b") == F.col("y.rid"))
-    near = near.where(_may_be_similar("x", "y", num, den, _FOLDED)).select("a", "b")
+    # of large sets, pairs that are neighbours in few chains can wait for the second step
+    near = near.where(_may_be_similar("x", "y", num, den, _FOLDED)).where(F.col("met") * 4 >= sign.least_shared(F.greatest("x.n", "y.n"))).select("a", "b")
     near = scratch.keep(_screened(near, sketches, num, den))
     # each set's nearest partner first; of the other pairs, those that still lie in different components
     ends = near.select(F.col("a").alias("me"), "a", "b", "apart").unionAll(near.select(F.col("b").alias("me"), "a", "b", "apart"))
@@ -409,11 +419,14 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     mixed_path = scratch.write(mixed.join(short, "rid"))
     mixed = documents.sparkSession.read.parquet(mixed_path)
     meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
-    cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet).select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
-    cross = scratch.keep(cross)
+    once = ~F.col("y.few") | (F.col("x.rid") < F.col("y.rid"))
+    cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet & once)
+    cross = cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"), F.greatest("x.n", "y.n").alias("n"))
+    cross = cross.groupBy("a", "b", "n").agg(F.count("*").alias("met"))
+    cross = scratch.keep(cross.where(F.col("met") >= sign.least_shared(F.col("n"))).select("a", "b"))
     scratch.drop(mixed_path)
     cross = _screened(cross, sketches, num, den).select("a", "b")
-    cross = cross.join(pairs, ["a", "b"], "left_anti")
+    cross = cross.join(near.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         ends = more.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")

@@ -34,7 +34,7 @@ _SEPARATORS, _SPECIAL = "\x1c\x1d\x1e\x1f", re.compile("<\\|startoftext\\|>|<\\|
 #: Words of these characters alone are lower-cased and cut here as the vocabulary's own rule does; others go to the library.
 _PLAIN = re.compile("[!-~À-ÿ]+")
 _CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+")
-_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 1_000_000, 800_000, 64, 512
+_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 600_000, 500_000, 64, 512
 
 
 def _tokenizer(path: str):
