@@ -26,7 +26,7 @@ from .names import free_prefix
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
-_BATCH = 64
+_BATCH = 128
 _BYTES_AT_ONCE = 1_000_000
 _SLICE = 1 << 14
 
@@ -216,7 +216,7 @@ class ToxicIndex:
             here = slice(blk * self.block, (blk + 1) * self.block)
             if len(q := np.flatnonzero((bound[:, blk] > 0) & (bound[:, blk] >= least - 1e-12))):
                 done[q, here] = score[q, here] + (often if len(q) == len(often) else often[q]) @ self.dense[:, here]
-            if i in (3, 15, 47) and (i + 1) * self.block > self.k:  # one more than k, as a query's own row may be left out
+            if i in (0, 1, 3, 7, 15, 31, 63) and (i + 1) * self.block > self.k:  # one more than k, as a query's own row may be left out
                 seen = (turn[: i + 1, None] * self.block + np.arange(self.block)).ravel()
                 least = np.maximum(least, np.partition(done[:, seen], len(seen) - self.k - 1, axis=1)[:, len(seen) - self.k - 1])
         found = []
@@ -263,14 +263,16 @@ class ToxicIndex:
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[int]]]:
         """(probability of toxic, ids of the nearest examples) of each text."""
-        out, part = [], []
-        for i, counts in enumerate(known_terms(texts, self.terms)):
-            part.append(self.vector(counts))
-            if len(part) == _BATCH or i == len(texts) - 1:
-                for near in self._search(part):
-                    v, _ = self._vote(near)
-                    out.append((float(np.interp(v, *self.curve)) if v >= 0 else self.rest, [self.ids[i] for _, i in near]))
-                part = []
+        out: list = [None] * len(texts)
+        queries = [self.vector(counts) for counts in known_terms(texts, self.terms)]
+        # like texts together, so that they need the same blocks: by the common term of the largest weight
+        common = [(at[row >= 0], w[row >= 0]) for at, w in queries for row in (self.row[at],)]
+        order = sorted(range(len(texts)), key=lambda i: int(common[i][0][common[i][1].argmax()]) if len(common[i][0]) else -1)
+        for s in range(0, len(order), _BATCH):
+            part = order[s : s + _BATCH]
+            for i, near in zip(part, self._search([queries[j] for j in part]), strict=True):
+                v, _ = self._vote(near)
+                out[i] = (float(np.interp(v, *self.curve)) if v >= 0 else self.rest, [self.ids[j] for _, j in near])
         return out
 
 
