@@ -26,7 +26,7 @@ from .names import free_prefix
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEMS = (5, 7)
-_BATCH = 128
+_BATCH = 64
 _BYTES_AT_ONCE = 1_000_000
 _SLICE = 1 << 14
 
