@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import datetime as dt
 import uuid
 
 import pytest
@@ -274,3 +276,24 @@ def test_specs_and_streams(spark, tmp_path):
     stream.upsert_stream(live, str(tmp_path / "tab"), ["id"], "v", str(tmp_path / "cp2")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "tab")).count() == 2
     _ = guid
+
+
+def test_a_key_twice_is_an_error(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
+    one = rows.where("v <> 'b'")
+    for call in (lambda: history.upsert(None, rows, ["k"]), lambda: history.scd2_merge(None, rows, ["k"], ["v"], "2020-01-01")):
+        with pytest.raises(ValueError, match="repeated keys"):
+            call()
+    first = history.scd2_merge(None, one, ["k"], ["v"], "2020-01-01")
+    with pytest.raises(ValueError, match="repeated keys"):
+        history.scd2_counts(first, rows, ["k"], ["v"])
+    assert history.scd2_counts(first, one, ["k"], ["v"]).first().asDict() == {"inserted": 0, "changed": 0, "unchanged": 2}
+
+
+def test_a_broken_swap_loses_no_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path)
+    os.rename(path, f"{path}__before")  # as if it broke off between the two moves
+    sinks.upsert_table(spark.createDataFrame([(2, "c")], "k int, v string"), path, ["k"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "c")]
+    assert not os.path.exists(f"{path}__before")

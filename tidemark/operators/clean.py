@@ -69,6 +69,14 @@ def assert_unique(df: DataFrame, keys: list[str], label: str = "rows") -> DataFr
     return df
 
 
+def assert_unique_keys(df: DataFrame, keys: list[str], label: str = "table") -> DataFrame:
+    """df, or an error where a key repeats; null parts are equal to each other."""
+    bad = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").limit(10).collect()
+    if bad:
+        raise ValueError(f"{label}: repeated keys {[tuple(r)[: len(keys)] for r in bad]}")
+    return df
+
+
 def assert_keys(df: DataFrame, keys: list[str], label: str = "table") -> DataFrame:
     """df, or an error where a key column is null or a key repeats; one aggregation finds both."""
     null = F.when(sum((F.col(k).isNull().cast("int") for k in keys), F.lit(0)) > 0, 1).otherwise(0)

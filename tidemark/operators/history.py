@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import guid
+from tidemark.operators.clean import assert_unique_keys
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows replace target rows with equal keys (null parts are equal too); other target rows stay. New source
-    columns widen the table; columns that the source lacks become null in replaced rows. Twice the same source: once."""
+    columns widen the table; columns that the source lacks become null in replaced rows. Twice the same source: once. A source
+    that has a key twice is an error: which row should win isn't known."""
+    assert_unique_keys(source, keys, "source")
     if target is None:
         return source
     k = {c: F.col(f"s.{c}") for c in keys}
@@ -40,7 +43,9 @@ def state_hash(columns: list[str]) -> Column:
 
 def scd2_merge(current: DataFrame | None, snapshot: DataFrame, keys: list[str], tracked: list[str], now: datetime | str, key: str = "key") -> DataFrame:
     """The whole history after a snapshot: changed rows close at ``now`` and get a new version, new ones open, unchanged
-    ones and those missing from the snapshot stay as they are. One join of the open rows with the snapshot."""
+    ones and those missing from the snapshot stay as they are. One join of the open rows with the snapshot. A snapshot that
+    has a key twice is an error."""
+    assert_unique_keys(snapshot, keys, "snapshot")
     at = F.lit(now).cast("timestamp")
     fresh = snapshot.withColumn("_scd_hash", state_hash(tracked))
     opened = fresh.withColumns({"valid_from": at, "valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})
@@ -59,7 +64,9 @@ def scd2_merge(current: DataFrame | None, snapshot: DataFrame, keys: list[str],
 
 
 def scd2_counts(current: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
-    """One row: inserted, changed, unchanged."""
-    old = current.where("is_current").select(*keys, F.col("_scd_hash").alias("_old"))
-    both = snapshot.withColumn("_new", state_hash(tracked)).join(old, keys, "left")
+    """One row: inserted, changed, unchanged. Null keys are equal to each other, as in ``scd2_merge``; a key twice is an error."""
+    assert_unique_keys(snapshot, keys, "snapshot")
+    old = current.where("is_current").select(*keys, F.col("_scd_hash").alias("_old")).alias("o")
+    fresh = snapshot.withColumn("_new", state_hash(tracked)).alias("n")
+    both = fresh.join(old, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys], "left")
     return both.agg(F.count_if(F.col("_old").isNull()).alias("inserted"), F.count_if(F.col("_old") != F.col("_new")).alias("changed"), F.count_if(F.col("_old") == F.col("_new")).alias("unchanged"))

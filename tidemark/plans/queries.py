@@ -89,12 +89,12 @@ def multi_role_lookup(spark, sf):
 
 
 @_query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS total, CASE WHEN o_orderkey % 3 = 0 THEN 'new' END AS batch
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""")
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS total, CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN 'new' END AS batch
+FROM orders""")
 def upsert_orders(spark, sf):
     orders = _t(spark, sf, "orders")
-    old = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_totalprice").alias("total"))
-    new = orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.round(F.col("o_totalprice") * 2, 2).alias("total"), F.lit("new").alias("batch"))
+    old = orders.where("o_orderdate is null or o_orderdate < timestamp'1997-01-01'").select("o_orderkey", F.col("o_totalprice").alias("total"))
+    new = orders.where("o_orderdate >= timestamp'1996-01-01'").select("o_orderkey", F.round(F.col("o_totalprice") * 2, 2).alias("total"), F.lit("new").alias("batch"))
     return history.upsert(history.upsert(old, new, ["o_orderkey"]), new, ["o_orderkey"])
 
 

@@ -27,17 +27,43 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_table(df: DataFrame, path: str, **options: str) -> None:
-    """Full replacement by a staged folder and a swap, so a table may be read, changed and written back."""
+    """Full replacement by a staged folder and a swap, so a table may be read, changed and written back.
+
+    The old table is moved aside, and deleted only when the new one is in its place; ``recover`` mends a swap that broke off.
+    """
     spark, staged = df.sparkSession, f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    recover(spark, path)
     df.write.options(**options).parquet(staged)
     fs, target = _fs(spark, path)
-    fs.delete(target, True)
+    aside = _fs(spark, _aside(path))[1]
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside")
     if not fs.rename(_fs(spark, staged)[1], target):
         raise OSError(f"{staged} could not be moved to {path}")
+    fs.delete(aside, True)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}__before"
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Puts a table back that a broken swap has left aside; True if it did."""
+    fs, target = _fs(spark, path)
+    aside = _fs(spark, _aside(path))[1]
+    if not fs.exists(aside):
+        return False
+    if fs.exists(target):  # the new table is in its place, only the deletion was missed
+        fs.delete(aside, True)
+        return False
+    if not fs.rename(aside, target):
+        raise OSError(f"{aside} could not be moved back")
+    return True
 
 
 def upsert_table(df: DataFrame, path: str, keys: list[str]) -> None:
     spark = df.sparkSession
+    recover(spark, path)
     replace_table(upsert(spark.read.parquet(path) if exists(spark, path) else None, df, keys), path)
 
 

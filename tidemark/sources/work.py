@@ -11,9 +11,11 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests), a temporary folder of our own."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a temporary folder of our own, for a local master only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = _own["path"] = _own.get("path") or tempfile.mkdtemp(prefix="tidemark-", dir="/tmp")
     return path.rstrip("/")
 
