@@ -1,6 +1,5 @@
 import datetime as dt
 import os
-import datetime as dt
 import uuid
 
 import pytest
