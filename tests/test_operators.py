@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.documents import at_path, rich_text, rich_text_flat, typed
 from tidemark.functions.keys import NAMESPACE, add_guid_key, guid
-from tidemark.operators import calendar, clean, dims, facts, history, intervals, recipes, semi, tree
+from tidemark.operators import calendar, clean, dims, facts, history, intervals, recipes, semi, testing, tree
 from tidemark.plans import metrics, spec
 from tidemark.sources import landing, runlog, sinks
 
@@ -296,3 +296,41 @@ def test_a_broken_swap_loses_no_table(spark, tmp_path):
     sinks.upsert_table(spark.createDataFrame([(2, "c")], "k int, v string"), path, ["k"])
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "c")]
     assert not os.path.exists(f"{path}__before")
+
+
+def test_built_tables_are_written_by_their_kind(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, v string")
+    dim, path = dims.TableSpec("d", merge_fields=["id"]), str(tmp_path / "d")
+    spec.merge_table(rows(("a", "1"), ("b", "1")), dim, path)
+    got = spec.merge_table(rows(("b", "2"), ("c", "2")), dim, path)
+    assert sorted((r.id, r.v) for r in got.collect() if r.id != "Unknown") == [("a", "1"), ("b", "2"), ("c", "2")]
+    assert got.where("id = 'Unknown'").count() == 1 and got.select("key").distinct().count() == 4
+    whole = dims.TableSpec("d", merge_fields=["id"], write_mode="overwrite")
+    assert {r.id for r in spec.merge_table(rows(("z", "9")), whole, path).collect()} == {"z", "Unknown"}
+    hist, path = dims.TableSpec("h", "scd2", ["id"], tracked=["v"], unknown_member=False), str(tmp_path / "h")
+    spec.merge_table(rows(("a", "1"), ("b", "1")), hist, path, "2024-01-01")
+    got = spec.merge_table(rows(("a", "2"), ("b", "1")), hist, path, "2024-02-01")
+    assert sorted((r.id, r.v, r.is_current) for r in got.collect()) == [("a", "1", False), ("a", "2", True), ("b", "1", True)]
+
+
+def test_configured_tables_are_written_in_order(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int").createOrReplaceTempView("raw_items")
+    tables = spec.load_gold([{"table_name": "first_t", "select_sql": "SELECT id FROM raw_items", "merge_fields": ["id"]}, {"table_name": "second_t", "kind": "fact", "select_sql": "SELECT r.id, f.key AS first_key FROM raw_items r JOIN first_t f USING (id)", "merge_fields": ["id"], "key": "k"}])
+    spec.build_gold(spark, tables, str(tmp_path))
+    spec.build_gold(spark, tables, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "first_t")).count() == 3
+    assert {r.id for r in spark.read.parquet(str(tmp_path / "second_t")).collect()} == {"a", "b"}
+
+
+def test_test_tracker_tables(spark):
+    land = lambda *r: spark.createDataFrame([(x,) for x in r], "raw_data string")
+    cols = ["run_id", "status_name", "started_on", "finished_on"]
+    first = testing.test_runs(land('{"run_id":"1","status_name":"TODO","started_on":"2026-01-01T00:00:00Z","finished_on":""}', '{"run_id":"1","status_name":"PASS","finished_on":"2026-01-02T00:00:00Z"}', '{"status_name":"x"}', "broken", None), cols)
+    assert [(r.run_id, r.status_name) for r in first.collect()] == [("1", "PASS")]
+    again = testing.test_runs(land('{"run_id":"1","status_name":"FAIL"}', '{"run_id":"2"}'), cols, first)
+    assert sorted((r.run_id, r.status_name) for r in again.collect()) == [("1", "FAIL"), ("2", None)]
+    c = testing.containers(land('{"container_issue_id":"7"}', '{"container_issue_id":"7"}', '{"container_issue_id":"8","test_issue_id":"t"}', "{}"), "test_plan")
+    assert sorted((r.test_plan_issue_id, r.test_issue_id) for r in c.collect()) == [("7", None), ("8", "t")]
+    assert testing.containers(land('{"container_issue_id":"7"}'), "test_plan", c).count() == 2
+    assert testing.tests(land('{"test_issue_id":"t","steps_json":"[1]"}', '{"test_issue_id":"t","steps_json":"[1]"}', "{}")).count() == 1
+    assert testing.test_runs(land(), cols).count() == 0

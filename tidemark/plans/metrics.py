@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 @dataclass
@@ -66,6 +68,25 @@ def day_pivot(days: DataFrame, resource: str, day: str, first: str, n: int, valu
     return near.groupBy(resource, F.date_format(day, "yyyy-MM-dd").alias("day")).agg(value.alias("n"))
 
 
+def day_matrix(days: DataFrame, resource: str, day: str, first: str, n: int, value: Column) -> DataFrame:
+    """As ``day_pivot``, one column a day: yyyy-MM-dd of each of the next n days that is no weekend day, 0 where nothing is."""
+    wanted = [d for d in (date.fromisoformat(first) + timedelta(days=i) for i in range(n)) if d.weekday() < 5]
+    names = [d.isoformat() for d in wanted]
+    near = days.where(F.col(day).cast("date").isin(wanted)).withColumn("_day", F.date_format(day, "yyyy-MM-dd"))
+    return near.groupBy(resource).pivot("_day", names).agg(value).na.fill(0)
+
+
+def detail_table(rows: DataFrame, columns: list[str], count: Column | None = None) -> DataFrame:
+    """A report's detail table: one row for each set of labels, dates and type, with a count (rows, unless another is given)."""
+    return rows.groupBy(*columns).agg((F.count("*") if count is None else count).alias("n"))
+
+
+def stage_days(periods: DataFrame, entity: str, stage: str, days: str) -> DataFrame:
+    """Days and periods stacked by entity and stage, with the stage's share of the entity's days (null where they are 0)."""
+    per = periods.groupBy(entity, stage).agg(F.sum(days).alias("days"), F.count("*").alias("periods"))
+    return per.withColumn("share", share(F.col("days"), F.sum("days").over(Window.partitionBy(entity))))
+
+
 def listed(df: DataFrame, where: Column, columns: list[str], order: list[Column]) -> DataFrame:
     return df.where(where).select(*columns).orderBy(*order)
 

@@ -522,3 +522,6 @@ def inactive_relationship(spark, sf):
     star = metrics.Star(rows, {"nation": (_t(spark, sf, "nation"), "n_nationkey", {"billed": "c_nationkey", "keyed": "other"})})
     made = [star.measure(["n_name"], {"n": F.count("*")}, ["nation"], roles={"nation": r}).withColumn("role", F.lit(r)) for r in ("billed", "keyed")]
     return made[0].unionByName(made[1]).withColumnRenamed("n_name", "nation")
+
+
+from tidemark.plans import item_queries  # noqa: E402,F401  registers more queries in the tables above

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field, fields
+from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.calendar import date_dimension
 from tidemark.operators.dims import TableSpec, build_table
+from tidemark.operators.history import scd2_merge
 from tidemark.operators.semi import Mapping
+from tidemark.sources.sinks import exists, recover, replace_table, upsert_table
 
 
 @dataclass
@@ -49,6 +52,7 @@ class GoldTable:
     merge_fields: list[str] = field(default_factory=list)
     key: str = "key"
     tracked: list[str] = field(default_factory=list)
+    write_mode: str = "upsert"
 
 
 @dataclass
@@ -83,12 +87,29 @@ def load_calendar(given: str | dict) -> CalendarSpec:
     return _made(CalendarSpec, dict(_read(given)))
 
 
-def build_gold(spark: SparkSession, tables: list[GoldTable]) -> dict[str, DataFrame]:
-    """Each table's SELECT, built by its specification, in order; later ones may read earlier ones as views."""
+def merge_table(df: DataFrame, spec: TableSpec, path: str, now: datetime | str | None = None) -> DataFrame:
+    """Builds rows by their specification and writes them to a table folder: a new history for scd2 (changes as of ``now``),
+    a full replacement for ``overwrite``, else an upsert by the merge fields. Returns the table as it then stands."""
+    rows, spark = build_table(df, spec), df.sparkSession
+    if spec.kind == "scd2":
+        recover(spark, path)
+        old = spark.read.parquet(path) if exists(spark, path) else None
+        replace_table(scd2_merge(old, rows, spec.merge_fields, spec.tracked, now or datetime.now(UTC), spec.key), path)
+    elif spec.write_mode == "overwrite":
+        replace_table(rows, path)
+    else:
+        upsert_table(rows, path, spec.merge_fields)
+    return spark.read.parquet(path)
+
+
+def build_gold(spark: SparkSession, tables: list[GoldTable], folder: str | None = None, now: datetime | str | None = None) -> dict[str, DataFrame]:
+    """Each table's SELECT, built by its specification, in order; later ones may read earlier ones as views. With a folder,
+    each is merged into its table there."""
     out = {}
     for t in tables:
-        spec = TableSpec(t.table_name, t.kind, t.merge_fields, t.key, tracked=t.tracked)
-        out[t.table_name] = build_table(spark.sql(t.select_sql), spec)
+        spec = TableSpec(t.table_name, t.kind, t.merge_fields, t.key, tracked=t.tracked, write_mode=t.write_mode)
+        rows = spark.sql(t.select_sql)
+        out[t.table_name] = merge_table(rows, spec, f"{folder}/{t.table_name}", now) if folder else build_table(rows, spec)
         out[t.table_name].createOrReplaceTempView(t.table_name)
     return out
 
