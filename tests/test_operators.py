@@ -334,3 +334,24 @@ def test_test_tracker_tables(spark):
     assert testing.containers(land('{"container_issue_id":"7"}'), "test_plan", c).count() == 2
     assert testing.tests(land('{"test_issue_id":"t","steps_json":"[1]"}', '{"test_issue_id":"t","steps_json":"[1]"}', "{}")).count() == 1
     assert testing.test_runs(land(), cols).count() == 0
+
+
+def test_payload_names_that_differ_in_case_only(spark):
+    rows = spark.createDataFrame([('{"Ab":1,"ab":2,"s":{"K":"x","k":"y"},"l":[{"V":1}]}',), (None,), ('{"Ab":3}',)], "raw_data string")
+    got = semi.auto_standardize(rows)
+    assert got.columns == ["Ab", "ab_2", "l", "s_K", "s_k_2"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [(1, 2, '[{"V":1}]', "x", "y"), (3, None, None, None, None), (None,) * 5]))
+
+
+def test_landing_bounds_the_rows_of_a_file(spark, tmp_path):
+    env = landing.envelope(spark.range(10, numPartitions=1).select("id"), "app", "thing", "l", "id", "2026-01-01")
+    assert landing.land(env, str(tmp_path / "x"), 4) == 10
+    files = [f for _, _, names in os.walk(tmp_path / "x") for f in names if f.endswith(".parquet")]
+    assert len(files) == 3 and landing.read_landed(spark, str(tmp_path / "x")).count() == 10
+
+
+def test_weekdays_are_counted_without_a_second_window(spark):
+    alloc = spark.createDataFrame([(1, 1, "lead", 1, dt.date(2026, 1, 1), dt.date(2026, 1, 6), 8.0), (1, 2, "lead", 1, dt.date(2026, 1, 3), dt.date(2026, 1, 4), 8.0)], "r int, i int, role string, w int, a date, b date, h double")
+    days = facts.day_allocations(alloc, "r", "i", "role", "w", "a", "b", "h")
+    assert sorted((r.i, r.alloc_date.day, r.allocated_hours) for r in days.collect()) == [(1, 1, 2.0), (1, 2, 2.0), (1, 5, 2.0), (1, 6, 2.0)]
+    assert "_days" not in days.columns and days._jdf.queryExecution().toString().count("+- Window [count") == 0

@@ -96,10 +96,12 @@ def add_working_days(df: DataFrame, start: str, end: str, calendar: DataFrame, o
     return both.withColumn(out, F.greatest(F.col("_to") - F.col("_from"), F.lit(0))).drop("_from", "_to")
 
 
-def expand_days(df: DataFrame, start: str, end: str, out: str = "date", calendar: DataFrame | None = None) -> DataFrame:
-    """A row for each weekday in [start, end]; with a calendar, for each of its working days."""
+def expand_days(df: DataFrame, start: str, end: str, out: str = "date", calendar: DataFrame | None = None, count: str | None = None) -> DataFrame:
+    """A row for each weekday in [start, end]; with a calendar, for each of its working days. ``count`` names a column for
+    how many weekdays the row's interval has; with a calendar there is none."""
     valid = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end).cast("date") >= F.col(start).cast("date")))
-    rows = valid.withColumn(out, F.explode(F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))))
-    if calendar is None:
-        return rows.where(F.weekday(out) < 5)
-    return rows.join(F.broadcast(calendar.where("is_working_day").select(F.col("date").alias(out))), out)
+    days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))
+    if calendar is not None:
+        return valid.withColumn(out, F.explode(days)).join(F.broadcast(calendar.where("is_working_day").select(F.col("date").alias(out))), out)
+    days = F.filter(days, lambda d: F.weekday(d) < 5)
+    return (valid.withColumn(count, F.size(days)) if count else valid).withColumn(out, F.explode(days))

@@ -44,12 +44,13 @@ def role_allocations(leads: DataFrame, involved: DataFrame, resource: str, item:
 
 
 def day_allocations(allocations: DataFrame, resource: str, item: str, role: str, weight: str, start: str, end: str, hours: str, calendar: DataFrame | None = None) -> DataFrame:
-    """The strongest role of each pair, one row a weekday (or working day), hours spread evenly and weighted."""
+    """The strongest role of each pair, one row a weekday (or working day), hours spread evenly and
+    weighted. Weekdays are counted before they are exploded; only a calendar's working days need a window."""
     w = Window.partitionBy(resource, item).orderBy(F.col(weight).desc(), role)
     strongest = allocations.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    days = expand_days(strongest, start, end, "alloc_date", calendar)
-    n = F.count("*").over(Window.partitionBy(resource, item))
-    return days.withColumn("allocated_hours", F.coalesce(hours, F.lit(0)) / n * F.col(weight))
+    days = expand_days(strongest, start, end, "alloc_date", calendar, "_days")
+    n = F.col("_days") if calendar is None else F.count("*").over(Window.partitionBy(resource, item))
+    return days.withColumn("allocated_hours", F.coalesce(hours, F.lit(0)) / n * F.col(weight)).drop("_days")
 
 
 def latest_flag(df: DataFrame, keys: list[str], order: list[Column], out: str = "is_latest") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -78,15 +79,29 @@ def flatten(df: DataFrame, depth: int = 5) -> DataFrame:
 
 
 def infer_schema(df: DataFrame, source: str = "raw_data", ratio: float = 1.0) -> T.StructType:
-    """Schema of JSON texts from one pass over all rows, or over a share of them."""
-    rows = df.select(source).where(F.col(source).isNotNull())
-    return df.sparkSession.read.json(rows.rdd.map(lambda r: r[0]), samplingRatio=ratio).schema
+    """Schema of JSON texts from one pass over all rows, or over a share of them; the texts stay in the JVM."""
+    spark, texts = df.sparkSession, df.select(F.col(source).cast("string")).where(F.col(source).isNotNull())
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T.StructType.fromJson(json.loads(spark._jsparkSession.read().option("samplingRatio", str(ratio)).json(strings).schema().json()))
+
+
+def _unlike(kind: T.DataType) -> T.DataType:
+    """A struct type whose fields, down to the first array, differ in more than their case."""
+    if not isinstance(kind, T.StructType):
+        return kind
+    names = kind.fieldNames()
+    if len({n.lower() for n in names}) < len(names):
+        names = distinct_names(names)
+    return T.StructType([T.StructField(n, _unlike(f.dataType)) for n, f in zip(names, kind.fields, strict=True)])
 
 
 def auto_standardize(df: DataFrame, source: str = "raw_data", depth: int = 5, carry: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """JSON payload to flat columns; a declared schema skips the inference pass."""
     schema = schema or infer_schema(df, source)
-    parsed = df.select(*(carry or []), F.from_json(source, schema).alias("_p"))
+    plain = _unlike(schema)
+    body = F.from_json(source, schema)
+    parsed = df.select(*(carry or []), (body if plain == schema else body.cast(plain)).alias("_p"))
+    schema = plain
     found = list(_leaves(schema, F.col("_p"), "", depth))
     names = distinct_names([*(carry or []), *[n for n, _ in found]])[len(carry or []) :]
     return parsed.select(*(carry or []), *[c.alias(n) for (_, c), n in zip(found, names, strict=True)])
