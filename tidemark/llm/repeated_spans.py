@@ -143,12 +143,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id
             yield pa.RecordBatch.from_arrays(cols, ["doc", "anchor", "same", "path", "start", "n"][: len(cols)])
 
     anchors = read.mapInArrow(lambda b: paths(b, False), f"doc {kind}, anchor long")
-    shared = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("anchor")
+    # written, so that both sides of each join are plain exchanges, whose hot partitions Spark can split
+    shared = scratch.keep(anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("anchor"))
     found = read.mapInArrow(lambda b: paths(b, True), f"doc {kind}, anchor long, same long, path long, start long, n long")
     kept = scratch.keep(found.join(shared, "anchor", "left_semi"))
 
-    edges = kept.groupBy("anchor", "path").agg(F.min("doc").alias("first"))
-    ways = edges.groupBy("anchor").agg(F.count("*").alias("ways"))
+    edges = scratch.keep(kept.groupBy("anchor", "path").agg(F.min("doc").alias("first")))
+    ways = scratch.keep(edges.groupBy("anchor").agg(F.count("*").alias("ways")))
     edges = scratch.keep(edges.join(ways, "anchor"))
     met = scratch.keep(kept.join(edges, ["anchor", "path"]).where("doc > first or ways > 1").select("doc", "same", "start", "n", (F.col("doc") > F.col("first")).alias("later")))
     whole = met.where("later").select("doc", "same", F.struct("start", (F.col("start") + F.col("n") + (window - 1)).alias("end")).alias("span"))
@@ -172,7 +173,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keys), batch.column(1).take(keys), pa.array(lo), pa.array(one[at]), pa.array(two[at])], ["doc", "same", "start", "one", "two"])
 
     each = scratch.keep(texts.mapInArrow(windows, f"doc {kind}, same long, start long, one long, two long"))
-    least = each.groupBy("one", "two").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("one", "two", "lo")
+    least = scratch.keep(each.groupBy("one", "two").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("one", "two", "lo"))
     single = each.join(least, ["one", "two"]).where("doc > lo").select("doc", "same", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
     return whole.unionByName(single).groupBy("doc", "same").agg(F.collect_list("span").alias("spans"))
 
