@@ -95,21 +95,31 @@ def fill_fallbacks(df: DataFrame, fallbacks: dict[str, tuple[DataFrame, str, str
     return df
 
 
-def build_table(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Types, Unknown member, defaults, fallbacks, schema and key checks, then the key: rows ready to be written."""
+def unknown_row(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The Unknown member as one row of df's columns."""
+    known = {c: spec.sentinels.get(c, UNKNOWN) for c in spec.merge_fields} | {k: v for k, v in spec.sentinels.items() if k in df.columns}
+    return df.sparkSession.range(1).select(*[F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema])
+
+
+def build_table(df: DataFrame, spec: TableSpec, one_pass: bool = False) -> DataFrame:
+    """Types, Unknown member, defaults, fallbacks, schema and key checks, then the key: rows ready to be written. Looking for
+    an Unknown member and checking the keys both read all rows once more; with ``one_pass`` neither is done here, but by a
+    write that does so on its way (``BucketTable``)."""
     missing = [c for c in spec.merge_fields if c not in df.columns]
     if missing:
         raise ValueError(f"{spec.name}: merge fields missing: {missing}")
     if spec.unknown_member:
         kinds = {c: spec.types.get(c, "string") for c in spec.merge_fields}
         df = df.withColumns({c: F.col(c).cast(t) for c, t in kinds.items()})
-        df = add_unknown_member(df, {c: spec.sentinels.get(c, UNKNOWN) for c in spec.merge_fields} | {k: v for k, v in spec.sentinels.items() if k in df.columns})
+        if not one_pass:
+            df = add_unknown_member(df, {c: spec.sentinels.get(c, UNKNOWN) for c in spec.merge_fields} | {k: v for k, v in spec.sentinels.items() if k in df.columns})
     if spec.defaults:
         df = with_defaults(df, {c: d for c, d in spec.defaults.items() if c not in spec.merge_fields})
     df = fill_fallbacks(df, spec.fallbacks)
     if spec.expected:
         assert_columns(df, spec.expected)
-    assert_keys(df, spec.merge_fields, spec.name)
+    if not one_pass:
+        assert_keys(df, spec.merge_fields, spec.name)
     return df if spec.kind == "scd2" else add_guid_key(df, spec.merge_fields, spec.key)
 
 

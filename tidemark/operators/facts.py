@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.calendar import expand_days
+from tidemark.operators.scans import Slices
 
 
 def state_periods(events: DataFrame, entity: str, at: str, tracked: list[str], seed: str | None = None) -> DataFrame:
@@ -23,6 +24,17 @@ def state_periods(events: DataFrame, entity: str, at: str, tracked: list[str], s
     return filled.withColumn("is_current", F.col("valid_to").isNull())
 
 
+def state_periods_sliced(events: DataFrame, entity: str, at: str, tracked: list[str], seed: str | None = None, slices: int | None = None) -> DataFrame:
+    """``state_periods`` for entities with histories of any length: time is cut into slices, and each value a slice ends with
+    is carried into the next, so one entity with half of all events is not one task. Two range exchanges of the instants."""
+    flag = F.max(F.col(seed).cast("int")) == 1 if seed else F.lit(False)
+    once = events.groupBy(entity, F.col(at).alias("valid_from")).agg(*[F.max(c).alias(c) for c in tracked], flag.alias("is_seed"))
+    filled = Slices(once, [entity], ["valid_from"], slices).carried({f"_{c}": F.col(c) for c in tracked})
+    filled = filled.select(entity, "valid_from", *[F.col(f"_{c}").alias(c) for c in tracked], "is_seed")
+    ended = Slices(filled, [entity], ["valid_from"], slices).following("valid_from", "valid_to")
+    return ended.select(entity, "valid_from", "valid_to", *tracked, "is_seed", F.col("valid_to").isNull().alias("is_current"))
+
+
 def close_done(periods: DataFrame, is_done: Column, resolved: Column, as_of: str) -> DataFrame:
     """Terminal periods end at their resolution, others stay open; days_in_period counts to the end or to ``as_of``."""
     end = F.coalesce("valid_to", F.when(is_done, F.coalesce(resolved, F.col("valid_from"))))

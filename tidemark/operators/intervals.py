@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.scans import Slices
+from tidemark.sources.work import Scratch
+
 
 def join_points(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, width: int, how: str = "left") -> DataFrame:
     """Points with the intervals [low, high] that hold them: intervals are listed under every bucket of ``width`` they
@@ -16,9 +19,10 @@ def join_points(points: DataFrame, intervals: DataFrame, point: str, low: str, h
 
 
 def assert_disjoint(intervals: DataFrame, low: str, high: str, partition: list[str] | None = None) -> DataFrame:
-    """intervals, or an error: bucketed self-check by the start that follows each interval."""
-    w = Window.partitionBy(*(partition or [F.lit(0)])).orderBy(low, high)
-    if not intervals.withColumn("_n", F.lead(low).over(w)).where(F.col("_n") <= F.col(high)).isEmpty():
+    """intervals, or an error: each start is held against the end before it, in slices of the sorted order."""
+    rows = intervals.select(*(partition or []), F.col(low).alias("_low"), F.col(high).alias("_high"))
+    before = Slices(rows, partition or [], ["_low", "_high"]).carried({"_before": F.col("_high")}, current=False)
+    if not before.where(F.col("_before") >= F.col("_low")).isEmpty():
         raise ValueError("intervals overlap")
     return intervals
 
@@ -31,3 +35,55 @@ def as_of_join(facts: DataFrame, versions: DataFrame, keys: list[str], at: str,
     w = Window.partitionBy(*keys).orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
     both = f.unionByName(v, allowMissingColumns=True).withColumn("_last", F.last("_v", ignorenulls=True).over(w))
     return both.where("_side = 1").select(*facts.columns, *[F.col(f"_last.{c}").alias(c) for c in columns])
+
+
+def dyadic_cover(low: Column, high: Column) -> Column:
+    """The fewest aligned cells, (level, cell) for cell * 2^level to (cell + 1) * 2^level - 1, that make up the whole numbers
+    of [low, high]: two a level at most, about twice the binary logarithm of the length. An empty interval has none."""
+    high = high.cast("long") + 1
+    low = low.cast("long")
+    shifted = lambda c, j: F.call_function("shiftright", c, j)
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(high - low, F.lit(1)).cast("double"))).cast("int") + 1)
+
+    def cells(j: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), j)
+        first, end = shifted(low + size - 1, j), shifted(high, j)
+        odd = lambda c: F.pmod(c, F.lit(2)) == 1
+        left = F.when((first < end) & odd(first), F.struct(j.alias("level"), first.alias("cell")))
+        right = F.when((first < end) & odd(end), F.struct(j.alias("level"), (end - 1).alias("cell")))
+        return F.array(left, right)
+
+    return F.when(high > low, F.filter(F.flatten(F.transform(levels, cells)), lambda x: x.isNotNull()))
+
+
+def join_ranges(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, how: str = "left", scratch: Scratch | None = None) -> DataFrame:
+    """Points, whole numbers, with the intervals [low, high] that hold them, whatever the intervals' lengths.
+
+    Intervals are listed under the cells of their dyadic cover, distinct points under the cell they have on each level that
+    occurs, so a pair meets exactly once, in one equi join without candidates to drop. Rows grow with the logarithm of the
+    lengths, not with the lengths. Partitions of a cell that many points share, those of a long interval, are ones that Spark
+    splits. Points without an interval stay with nulls (``left``) or go (``inner``); null points and bounds meet nothing, and
+    neither do intervals that end before they start. Columns of both sides must differ in name.
+    """
+    if clash := {c.lower() for c in points.columns} & {c.lower() for c in intervals.columns}:
+        raise ValueError(f"both sides have {sorted(clash)}")
+    if how not in ("left", "inner"):
+        raise ValueError(f"join {how!r}")
+    scratch = scratch or Scratch(points.sparkSession)
+    listed = scratch.keep(intervals.withColumn("_c", F.explode(dyadic_cover(F.col(low), F.col(high)))).withColumns({"_level": F.col("_c.level"), "_cell": F.col("_c.cell")}).drop("_c"))
+    levels = sorted(r[0] for r in listed.select("_level").distinct().collect())  # 64 at most
+    at = F.col(point).cast("long")
+    cells = F.array(*[F.struct(F.lit(j).alias("level"), F.shiftright(F.col("_at"), j).alias("cell")) for j in levels]) if levels else F.array().cast("array<struct<level:int,cell:bigint>>")
+    asked = points.select(at.alias("_at")).where("_at is not null").distinct().select("_at", F.explode(cells).alias("_p"))
+    asked = asked.select("_at", F.col("_p.level").alias("_level"), F.col("_p.cell").alias("_cell"))
+    met = scratch.keep(asked.join(listed, ["_level", "_cell"]).drop("_level", "_cell"))
+    return points.withColumn("_at", at).join(met, "_at", how).select(*[F.col(f"`{c}`") for c in [*points.columns, *intervals.columns]])
+
+
+def as_of_slices(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, valid_from: str, columns: list[str], slices: int | None = None) -> DataFrame:
+    """``as_of_join`` for histories of any length: a key that holds a large share of all rows is spread over slices of its
+    time, and what a slice last knew is carried into the next. Versions with equal starts: the last in column order."""
+    f = facts.select("*", F.col(at).alias("_t"), F.lit(1).alias("_side"), F.lit(None).alias("_v"))
+    v = versions.select(*keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_side"), F.struct(*columns).alias("_v"))
+    both = Slices(f.unionByName(v, allowMissingColumns=True), keys, ["_t", "_side", "_v"], slices).carried({"_last": F.col("_v")})
+    return both.where("_side = 1").select(*[F.col(f"`{c}`") for c in facts.columns], *[F.col(f"_last.{c}").alias(c) for c in columns])

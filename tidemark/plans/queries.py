@@ -524,4 +524,4 @@ def inactive_relationship(spark, sf):
     return made[0].unionByName(made[1]).withColumnRenamed("n_name", "nation")
 
 
-from tidemark.plans import item_queries  # noqa: E402,F401  registers more queries in the tables above
+from tidemark.plans import item_queries, scale_queries  # noqa: E402,F401  register more queries in the tables above

@@ -8,11 +8,13 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.calendar import date_dimension
-from tidemark.operators.dims import TableSpec, build_table
+from tidemark.operators.dims import TableSpec, build_table, unknown_row
 from tidemark.operators.history import scd2_merge
 from tidemark.operators.semi import Mapping
+from tidemark.sources.buckets import BucketTable, Guards
 from tidemark.sources.sinks import exists, recover, replace_table, upsert_table
 
 
@@ -102,6 +104,20 @@ def merge_table(df: DataFrame, spec: TableSpec, path: str, now: datetime | str |
     return spark.read.parquet(path)
 
 
+def merge_buckets(df: DataFrame, spec: TableSpec, table: BucketTable) -> int:
+    """Builds rows by their specification and writes them to a table in buckets, in one pass over them: null and repeated
+    keys are found while rows are dealt to buckets, and nothing is published then. An Unknown member that the rows or the
+    table have already stays as it is. Returns the table's version."""
+    if spec.kind == "scd2":
+        raise ValueError(f"{spec.name}: a history is not an upsert by its merge fields")
+    if table.keys != spec.merge_fields:
+        raise ValueError(f"{spec.name}: the table has the keys {table.keys}")
+    kinds = {c: spec.types.get(c, "string") for c in spec.merge_fields} if spec.unknown_member else {}
+    rows, guards = build_table(df, spec, one_pass=True), Guards(no_null_keys=True, types=spec.expected or None)
+    spare = build_table(unknown_row(df.withColumns({c: F.col(c).cast(t) for c, t in kinds.items()}), spec), spec, one_pass=True) if spec.unknown_member else None
+    return table.replace(rows, guards, spare) if spec.write_mode == "overwrite" else table.upsert(rows, guards, spare=spare)
+
+
 def build_gold(spark: SparkSession, tables: list[GoldTable], folder: str | None = None, now: datetime | str | None = None) -> dict[str, DataFrame]:
     """Each table's SELECT, built by its specification, in order; later ones may read earlier ones as views. With a folder,
     each is merged into its table there."""

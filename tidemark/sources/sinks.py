@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,12 +107,12 @@ class TableReport:
     error: str = ""
 
 
-def clean_folder(spark: SparkSession, source: str, target: str, fmt: str = "parquet", workers: int = 8, prune: bool = True, skip: tuple[str, ...] = (), skip_prefixes: tuple[str, ...] = ()) -> list[TableReport]:
-    """Every table folder of source cleaned into target, several at once; a table's failure is reported and stops no other.
+def clean_folder(spark: SparkSession, source: str, target: str, fmt: str = "parquet", workers: int = 8, prune: bool = True, skip: tuple[str, ...] = (), skip_prefixes: tuple[str, ...] = (), limit: float | None = None) -> list[TableReport]:
+    """Every table folder of source cleaned into target, several at once, each in a pool of its name; a table's failure is
+    reported and stops no other, and one that takes more than ``limit`` seconds is cancelled alone.
     Targets whose folder is gone are removed, unless nothing at all was found."""
 
     def one(name: str) -> TableReport:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
             df = spark.read.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).load(f"{source}/{name}")
             seen = profile(df)
@@ -126,9 +129,10 @@ def clean_folder(spark: SparkSession, source: str, target: str, fmt: str = "parq
         except Exception as e:  # noqa: BLE001  a table's failure is its report
             return TableReport(name, "failed", error=str(e)[:300])
 
-    names = table_folders(spark, source, skip, skip_prefixes)
-    with ThreadPoolExecutor(workers) as pool:
-        reports = list(pool.map(one, names))
+    names, made = table_folders(spark, source, skip, skip_prefixes), {}
+    ends = run_fairly(spark, {n: (lambda n=n: made.__setitem__(n, one(n))) for n in names}, workers, limit)
+    made |= {r.name: TableReport(r.name, r.status, error=r.error) for r in ends if r.name not in made or r.status == "cancelled"}
+    reports = [made[n] for n in names]
     if prune and names:
         for gone in set(table_folders(spark, target)) - set(names):
             fs, p = _fs(spark, f"{target}/{gone}")
@@ -148,6 +152,75 @@ def role_playing(dim: DataFrame, prefix: str) -> DataFrame:
     return dim.toDF(*[f"{prefix}_{c}" for c in dim.columns])
 
 
+def fair_settings(pools: dict[str, tuple[int, int]], file: str) -> dict[str, str]:
+    """Settings for a new session in which jobs of different pools share the cores: each pool has a weight and a least
+    number of cores. Written to a file that the driver reads; pools that it doesn't name get weight 1 and no least."""
+    named = "".join(f'<pool name="{n}"><schedulingMode>FAIR</schedulingMode><weight>{w}</weight><minShare>{m}</minShare></pool>' for n, (w, m) in pools.items())
+    with open(file, "w") as out:
+        out.write(f"<?xml version='1.0'?><allocations>{named}</allocations>")
+    return {"spark.scheduler.mode": "FAIR", "spark.scheduler.allocation.file": f"file://{file}"}
+
+
+@dataclass
+class JobReport:
+    name: str
+    status: str
+    seconds: float
+    error: str = ""
+
+
+def run_fairly(spark: SparkSession, jobs: dict[str, Callable[[], object]], workers: int = 8, limit: float | None = None, pool: Callable[[str], str] | None = None) -> list[JobReport]:
+    """Jobs side by side, each in a pool (of its own name unless ``pool`` gives another) and a job group of its own, in the
+    order in which they end.
+
+    In a session of ``fair_settings`` a small table ends while a large one that began first still runs; without them pools
+    don't matter and stages queue. A job that fails is reported and stops no other. One that takes more than ``limit``
+    seconds is cancelled by its group, alone: its running tasks are interrupted, and it is reported as ``cancelled``.
+    """
+    context, order, guard = spark.sparkContext, [], threading.Lock()
+
+    def one(name: str, work: Callable[[], object]) -> None:
+        group, late, begun = f"{name}-{uuid.uuid4().hex}", threading.Event(), time.monotonic()
+        context.setLocalProperty("spark.scheduler.pool", pool(name) if pool else name)
+        context.setJobGroup(group, name, interruptOnCancel=True)
+
+        def stop() -> None:
+            late.set()
+            context.cancelJobGroup(group)
+
+        timer = threading.Timer(limit, stop) if limit else None
+        if timer:
+            timer.start()
+        try:
+            work()
+            report = JobReport(name, "succeeded", time.monotonic() - begun)
+        except Exception as e:  # noqa: BLE001  a job's failure is its report
+            report = JobReport(name, "cancelled" if late.is_set() else "failed", time.monotonic() - begun, str(e)[:300])
+        finally:
+            if timer:
+                timer.cancel()
+            context.setLocalProperty("spark.scheduler.pool", None)
+            context.setLocalProperty("spark.jobGroup.id", None)
+        with guard:
+            order.append(report)
+
+    def worker() -> None:
+        while True:
+            with guard:
+                if not waiting:
+                    return
+                name, work = waiting.pop(0)
+            one(name, work)
+
+    waiting = list(jobs.items())
+    threads = [InheritableThread(target=worker, session=spark) for _ in range(min(workers, len(jobs)))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    return order
+
+
 def run_all(jobs: dict[str, Callable[[], object]], workers: int = 8) -> dict[str, str]:
     def one(item):
         try:

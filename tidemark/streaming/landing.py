@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.clean import dedup_latest
+from tidemark.sources.buckets import BucketTable
 from tidemark.sources.landing import envelope
 from tidemark.sources.sinks import upsert_table
 
@@ -29,6 +30,16 @@ def upsert_stream(rows: DataFrame, path: str, keys: list[str], order_by: str, ch
     return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+def upsert_bucket_stream(rows: DataFrame, table: BucketTable, order_by: str, tiebreak: list[str], name: str, checkpoint: str) -> StreamingQuery:
+    """``upsert_stream`` into a table in buckets: a batch rewrites only the buckets of its keys, and the table's version
+    records the stream's batch, so one that runs twice changes nothing. tiebreak: columns that order rows of one instant."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        table.upsert(dedup_latest(batch, table.keys, order_by, tiebreak), batch=(name, number))
+
+    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
 def windowed_counts(events: DataFrame, at: str, keys: list[str], length: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Events per window and key, with a watermark for late rows; for streams and batches alike."""
     w = F.window(at, length, slide) if slide else F.window(at, length)
