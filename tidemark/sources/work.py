@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Written tables of one operator call. ``keep`` writes and rereads; ``drop`` removes one that is not needed again."""
+    """Written tables of one operator call. ``keep`` writes and rereads; ``drop`` removes one that is not needed again, and
+    ``last`` writes the result and removes all others, so that only results stay until the folder's owner clears it."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
@@ -38,6 +39,12 @@ class Scratch:
         schema = df.schema
         return self.spark.read.schema(schema).parquet(self.write(df))
 
+    def last(self, df: DataFrame) -> DataFrame:
+        out = self.keep(df)
+        for i in range(1, self.n):
+            self.drop(f"{self.root}/{i}")
+        return out
+
     def drop(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
