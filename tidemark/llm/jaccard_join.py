@@ -367,20 +367,11 @@ def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Data
     return at.where(_counts_allow("x", "y", num, den)).select("a", "b", "apart")
 
 
-def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 3, spared: int = 1, text_key: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Documents link when their sets' Jaccard similarity is at least num / den; component_id is the smallest doc_id reachable
-    by links, the document itself included. Without words (null or blank text) a document is linked with nothing. Repeated
-    rows are copies, each with its row. A null doc_id stays null and never names a component that has another id.
-    """
-    short_batches(documents.sparkSession)
-    scratch = Scratch(documents.sparkSession)
-    text = F.col("text").cast("string")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    sign = PartEnum(num, den, parts, spared)
+def _signed(rows: DataFrame, width: int, sign: PartEnum, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, str]:
+    """sets, sketches, every document's set, and the path of the signatures that two or more sets share. What is only needed
+    on the way goes with this call: the signatures of all sets are its largest table and its largest exchange."""
     signed_path = scratch.write(_as_frame(rows, width, sign))
-    signed = documents.sparkSession.read.parquet(signed_path)
+    signed = scratch.spark.read.parquet(signed_path)
     some = signed.where("n > 0")
     sets = scratch.keep(some.groupBy("rid").agg(F.min("doc_id").alias("lo")))
     sketches = scratch.keep(some.select("rid", "n", *_SKETCH, "counts").dropDuplicates(["rid"]))
@@ -392,8 +383,47 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     chained = shown.withColumn("prev", F.lag("rid").over(order)).withColumn("next", F.lead("rid").over(order))
     sig = (F.shiftleft("bucket", 32) + F.col("bits").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("sig")
     shared_path = scratch.write(chained.where("prev <> rid or next <> rid").select(sig, "rid", "prev"))
-    shared = documents.sparkSession.read.parquet(shared_path)
     scratch.drop(signed_path)
+    return sets, sketches, every, shared_path
+
+
+def _across(shared_path: str, comp: DataFrame, short: DataFrame, sign: PartEnum, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Pairs of sets that share enough signatures, may be similar and lie in different components: of each signature, all sets
+    outside its largest component against the others."""
+    shared = scratch.spark.read.parquet(shared_path)
+    tagged_path = scratch.write(shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp")))
+    tagged = scratch.spark.read.parquet(tagged_path)
+    scratch.drop(shared_path)
+    sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main"))
+    mixed = tagged.join(main, "sig").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"))
+    mixed_path = scratch.write(mixed.join(short, "rid"))
+    scratch.drop(tagged_path)
+    mixed = scratch.spark.read.parquet(mixed_path)
+    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
+    once = ~F.col("y.few") | (F.col("x.rid") < F.col("y.rid"))
+    cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet & once)
+    cross = cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"), F.greatest("x.n", "y.n").alias("n"))
+    cross = cross.groupBy("a", "b", "n").agg(F.count("*").alias("met"))
+    cross = scratch.keep(cross.where(F.col("met") >= sign.least_shared(F.col("n"))).select("a", "b"))
+    scratch.drop(mixed_path)
+    return cross
+
+
+def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100, parts: int = 3, spared: int = 1, text_key: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when their sets' Jaccard similarity is at least num / den; component_id is the smallest doc_id reachable
+    by links, the document itself included. Without words (null or blank text) a document is linked with nothing. Repeated
+    rows are copies, each with its row. A null doc_id stays null and never names a component that has another id.
+    """
+    short_batches(documents.sparkSession)
+    scratch = Scratch(documents.sparkSession)
+    text = F.col("text").cast("string")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    sign = PartEnum(num, den, parts, spared)
+    sets, sketches, every, shared_path = _signed(rows, width, sign, scratch)
+    shared = documents.sparkSession.read.parquet(shared_path)
     ends = shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b"))
     pairs = scratch.keep(ends.groupBy("a", "b").agg(F.count("*").alias("met")))
     short = sketches.select("rid", "n", *[_folded(i) for i in range(len(_FOLDED))])
@@ -411,20 +441,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     more = _verified(rest, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         comp = scratch.keep(components(links.unionAll(more), scratch))
-    tagged = scratch.keep(shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp")))
-    scratch.drop(shared_path)
-    sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main"))
-    mixed = tagged.join(main, "sig").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"))
-    mixed_path = scratch.write(mixed.join(short, "rid"))
-    mixed = documents.sparkSession.read.parquet(mixed_path)
-    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
-    once = ~F.col("y.few") | (F.col("x.rid") < F.col("y.rid"))
-    cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet & once)
-    cross = cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"), F.greatest("x.n", "y.n").alias("n"))
-    cross = cross.groupBy("a", "b", "n").agg(F.count("*").alias("met"))
-    cross = scratch.keep(cross.where(F.col("met") >= sign.least_shared(F.col("n"))).select("a", "b"))
-    scratch.drop(mixed_path)
+    cross = _across(shared_path, comp, short, sign, num, den, scratch)
     cross = _screened(cross, sketches, num, den).select("a", "b")
     cross = cross.join(near.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
@@ -437,7 +454,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     named = sets.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("rid", "lo", F.coalesce("comp", "rid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("lo").alias("component_id"))
     final = named.join(least, "comp").select("rid", "component_id")
-    result = scratch.keep(every.join(final, "rid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
+    result = scratch.last(every.join(final, "rid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_key"] if text_key else [])))
     return result
 
 
