@@ -1,7 +1,12 @@
-"""How many rows travel to Python at once."""
+"""How many rows travel to Python at once, and what Python workers keep."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -12,3 +17,20 @@ def short_batches(spark: SparkSession) -> None:
     Python, and texts and sets are long. A session's own number stays."""
     if int(spark.conf.get(_SETTING)) == 10_000:
         spark.conf.set(_SETTING, 1_000)
+
+
+def handing_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of batches that, at its task's end, gives the memory it no longer uses back to the system. Workers live on
+    between tasks, beside a JVM and other workers that need it, and allocators would keep it."""
+
+    def released(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return released

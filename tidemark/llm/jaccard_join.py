@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .batches import short_batches
+from .batches import handing_back, short_batches
 from .components import components
 from .names import free_prefix
 from ..sources.work import Scratch
@@ -280,7 +280,7 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
                 yield out
 
     lanes = "".join(f", {k} long" for k in _SKETCH) + ", counts array<short>" if sign else ""
-    return rows.mapInPandas(run, f"doc_id long, n long, rid long, text_key long, {column} array<long>{lanes}")
+    return rows.mapInPandas(handing_back(run), f"doc_id long, n long, rid long, text_key long, {column} array<long>{lanes}")
 
 
 def _slots(key: np.ndarray, size: int) -> np.ndarray:
@@ -296,7 +296,7 @@ def _wanted(ids: DataFrame, size: int):
             at = _slots(batch["lo"].fillna(-1).to_numpy(np.int64), size)
             yield pd.DataFrame({"word": at >> 6, "bit": at & 63})
 
-    words = ids.mapInPandas(slots, "word long, bit int").groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("v")).toPandas()
+    words = ids.mapInPandas(handing_back(slots), "word long, bit int").groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("v")).toPandas()
     table = np.zeros(size // 64, np.uint64)
     table[words["word"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
     return spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
@@ -332,7 +332,7 @@ def _packed(own: DataFrame, buckets: int) -> DataFrame:
         if sigs:
             yield packed(names, sigs)
 
-    return own.mapInPandas(run, "bucket long, sigs array<int>, rids array<long>")
+    return own.mapInPandas(handing_back(run), "bucket long, sigs array<int>, rids array<long>")
 
 
 def _between(pairs: DataFrame, comp: DataFrame) -> DataFrame:

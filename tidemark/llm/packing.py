@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import handing_back
 from ..sources.work import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -34,7 +35,7 @@ _SEPARATORS, _SPECIAL = "\x1c\x1d\x1e\x1f", re.compile("<\\|startoftext\\|>|<\\|
 #: Words of these characters alone are lower-cased and cut here as the vocabulary's own rule does; others go to the library.
 _PLAIN = re.compile("[!-~À-ÿ]+")
 _CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+")
-_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 600_000, 500_000, 64, 512
+_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 200_000, 250_000, 64, 512
 
 
 def _tokenizer(path: str):
@@ -60,14 +61,20 @@ def _ends(path: str) -> np.ndarray:
     return _ENDS[path]
 
 
+def _keep(known: dict[str, bytes], now: set[str]) -> None:
+    """A full cache keeps what the texts at hand use, common words among it, and drops the rest."""
+    kept = {w: known[w] for w in now if w in known}
+    known.clear()
+    known.update(kept)
+
+
 def _word_ids(words: list[str], path: str) -> dict[str, bytes]:
     """Each distinct word's ids. Plain words are cut into parts first: fewer differ, and new ones go to the library in one text."""
     tokenizer, known = _tokenizer(path), _PARTS.setdefault(path, {})
     cut = {w: _CUT.findall(w.lower()) for w in words if _PLAIN.fullmatch(w)}
     new = list(set().union(*cut.values()).difference(known)) if cut else []
     if len(known) + len(new) > _CACHED_PARTS:
-        known.clear()
-        new = list(set().union(*cut.values()))
+        _keep(known, set().union(*cut.values()))
     if new:
         ids = np.array(tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
         stops = (np.flatnonzero(_ends(path)[ids]) + 1).tolist()
@@ -99,8 +106,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     split = [(i, t.split()) for i, t in enumerate(texts) if i not in skip]
     new = list(set().union(*(w for _, w in split)).difference(known)) if split else []
     if len(known) + len(new) > _CACHED_WORDS:
-        known.clear()
-        new = list(set().union(*(w for _, w in split)))
+        _keep(known, set().union(*(w for _, w in split)))
     known.update(_word_ids(new, path))
     for i, words in split:
         out[i] = b"".join(map(known.__getitem__, words))
@@ -130,7 +136,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = 2048, end_id: int =
                 yield made
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(cut, PIECES)
+    return rows.mapInPandas(handing_back(cut), PIECES)
 
 
 def place(lengths: np.ndarray, capacity: int, levels: int = 64) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
-from .batches import short_batches
+from .batches import handing_back, short_batches
 from .jaccard_join import word_hashes
 from .names import free_prefix
 
@@ -103,7 +103,7 @@ def fit_evidence(documents: DataFrame, labels: DataFrame, most_rows: int = 12_00
         for batch in batches:
             yield pd.DataFrame({"good": batch["_good"].astype(float), "x": list(features([t if isinstance(t, str) else None for t in batch["text"]]))})
 
-    rows = docs.join(F.broadcast(chosen), "_id").mapInPandas(measured, "good double, x array<double>").toArrow()
+    rows = docs.join(F.broadcast(chosen), "_id").mapInPandas(handing_back(measured), "good double, x array<double>").toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(rows), FEATURES)
     return EvidenceModel.fit(x, rows["good"].to_numpy())
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
-from .batches import short_batches
+from .batches import handing_back, short_batches
 from .jaccard_join import byte_hashes, word_hashes
 from .names import free_prefix
 
@@ -306,7 +306,7 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
             ends = {y: np.unique(np.concatenate(rows[y]), return_counts=True) for y in (0, 1)}
             yield pd.concat([pd.DataFrame({"term": ends[y][0], "t": ends[y][1] * y, "c": ends[y][1] * (1 - y)}) for y in (0, 1)])
 
-    seen = sample.mapInPandas(counted, "term long, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()
+    seen = sample.mapInPandas(handing_back(counted), "term long, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()
     terms, t, c = (seen[x].to_numpy() for x in ("term", "t", "c"))
     order = np.argsort(terms)
     terms, t, c, total = terms[order], t[order].astype(float), c[order].astype(float), float(n[0] + n[1])
@@ -338,11 +338,11 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
             yield pd.DataFrame({"_id": batch["_id"], "_toxic": batch["_toxic"], "at": [at.astype("<i4").tobytes() for at, _ in rows], "tf": [tf.astype("<i4").tobytes() for _, tf in rows]})
 
     # how many documents have each term: each task sends its counts, packed by slices of the terms, which are added up slice by slice
-    parts = docs.select("text").mapInPandas(met, "slice int, counts binary").repartition("slice").mapInPandas(added, "slice int, counts binary").collect()
+    parts = docs.select("text").mapInPandas(handing_back(met), "slice int, counts binary").repartition("slice").mapInPandas(handing_back(added), "slice int, counts binary").collect()
     df = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in sorted(parts, key=lambda r: r["slice"])]) if parts else np.zeros(len(terms) + 1)
     weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (1 + chi)
     del seen, parts, df, t, c, diff, chi
-    own = sample.mapInPandas(numbered, "_id long, _toxic int, at binary, tf binary").toArrow()
+    own = sample.mapInPandas(handing_back(numbered), "_id long, _toxic int, at binary, tf binary").toArrow()
     examples = [(i.as_py(), y.as_py(), (np.frombuffer(at.as_buffer(), "<i4"), np.frombuffer(tf.as_buffer(), "<i4"))) for i, y, at, tf in zip(own["_id"], own["_toxic"], own["at"], own["tf"], strict=True)]
     shared.destroy()
     scratch.drop(sample_path)
