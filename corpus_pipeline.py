@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, mixing, packing, quality, toxicity
+from tidemark.llm.batches import hand_back
 from tidemark.llm.names import free_prefix
 from tidemark.sources.work import Scratch
 
@@ -32,11 +33,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar texts (5-word shingles, 0.8 or more): the one that names the class."""
+    hand_back()  # the driver held the toxicity index
     return jaccard_join.one_per_class(docs, width=5, num=80, den=100)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their calibrated probabilities."""
+    hand_back()
     return mixing.mixing_probabilities(docs, budget=MIX_BUDGET).where(F.col(f"{free_prefix(docs)}drawn")).select(*docs.columns)
 
 

@@ -19,18 +19,23 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(_SETTING, 1_000)
 
 
+def hand_back() -> None:
+    """Gives memory that this process no longer uses back to the system; allocators would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def handing_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function of batches that, at its task's end, gives the memory it no longer uses back to the system. Workers live on
-    between tasks, beside a JVM and other workers that need it, and allocators would keep it."""
+    """A function of batches that ends by ``hand_back``. Workers live on between tasks, beside a JVM and other workers that
+    need the memory."""
 
     def released(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim:
-                trim(0)
+            hand_back()
 
     return released

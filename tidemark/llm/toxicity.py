@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.work import Scratch
-from .batches import handing_back, short_batches
+from .batches import hand_back, handing_back, short_batches
 from .jaccard_join import byte_hashes, word_hashes
 from .names import free_prefix
 
@@ -347,6 +347,7 @@ def fit_index(documents: DataFrame, labels: DataFrame, most_toxic: int = 3000, m
     shared.destroy()
     scratch.drop(sample_path)
     del own
+    hand_back()
     return ToxicIndex((terms, weights), examples, classes, k)
 
 
