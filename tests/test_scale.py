@@ -440,3 +440,10 @@ def test_pools_are_reported_without_fair_mode(spark, tmp_path):
     assert "FAIR" in fair_settings({"a": (1, 0)}, str(tmp_path / "p.xml"))["spark.scheduler.mode"] and "<weight>1" in (tmp_path / "p.xml").read_text()
     assert {(r.name, r.status) for r in run_fairly(spark, {"a": lambda: spark.range(3).count(), "b": lambda: 1 / 0})} == {("a", "succeeded"), ("b", "failed")}
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_standardised_ties_are_settled_by_all_columns(spark):
+    texts = ['{"id":1,"at":5,"a":"x","b":1}', '{"id":1,"at":5,"a":"x","b":3}', '{"id":1,"at":5,"a":"x","b":2}', '{"id":1,"at":4,"a":"z","b":9}']
+    for data in (texts, texts[::-1]):
+        df = spark.createDataFrame([(t,) for t in data], "raw_data string")
+        assert [(r["a"], r["b"]) for r in semi.run_auto_standardize(df, ["id"], "at").collect()] == [("x", 3)]

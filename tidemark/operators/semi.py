@@ -108,11 +108,11 @@ def auto_standardize(df: DataFrame, source: str = "raw_data", depth: int = 5, ca
 
 
 def run_auto_standardize(df: DataFrame, keys: list[str], order_by: str | None = None, exclude: list[str] | None = None, post=None, sort_columns: bool = True, **kw) -> DataFrame:
-    """Flatten, exclude, keep the newest of each key, drop empty columns, post-process, exclude again, order columns."""
+    """Flatten, exclude, keep the newest of each key (ties by all columns), drop empty columns, post-process, exclude again, order columns."""
     drop = [*ALWAYS_DROPPED, *(exclude or [])]
     out = exclude_columns(auto_standardize(df, **kw), drop)
     if order_by:
-        out = dedup_latest(out, keys, order_by, [c for c in out.columns if c not in (*keys, order_by)][:1])
+        out = dedup_latest(out, keys, order_by, [c for c in out.columns if c not in (*keys, order_by)])
     out = drop_empty_columns(out, tuple(keys))
     out = exclude_columns(post(out) if post else out, drop)
     return out.select(*sorted(out.columns)) if sort_columns else out

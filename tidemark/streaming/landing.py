@@ -21,11 +21,12 @@ def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return rows.writeStream.option("checkpointLocation", checkpoint).partitionBy("ingest_date").trigger(availableNow=True).format("parquet").start(path)
 
 
-def upsert_stream(rows: DataFrame, path: str, keys: list[str], order_by: str, checkpoint: str) -> StreamingQuery:
-    """Each batch's newest row of a key replaces the table's; a batch that runs twice changes nothing."""
+def upsert_stream(rows: DataFrame, path: str, keys: list[str], order_by: str, checkpoint: str, tiebreak: list[str] | None = None) -> StreamingQuery:
+    """Each batch's newest row of a key replaces the table's; a batch that runs twice changes nothing, if ``order_by`` and
+    ``tiebreak`` tell a key's rows apart."""
 
     def write(batch: DataFrame, _: int) -> None:
-        upsert_table(dedup_latest(batch, keys, order_by), path, keys)
+        upsert_table(dedup_latest(batch, keys, order_by, tiebreak), path, keys)
 
     return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
