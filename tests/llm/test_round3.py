@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fill_middle, queries, repeated_spans, whitening
+from tidemark.llm import embedding_dedup, fill_middle, queries, repeated_spans, whitening
 
 SF = "/root/testdata/sf0.001"
 LONG = "é😀a\n" * 60_000
@@ -180,3 +180,40 @@ def test_filtered_subspace_meets_close_eigenvalues():
     values, vecs, residuals, passes = whitening.leading_pairs(lambda x: a @ x, 200, 16)
     assert np.abs(values / e[:16] - 1).max() < 1e-12 and residuals.max() < 1e-10 and passes < 400
     assert np.abs(a @ vecs - vecs * values).max() < 1e-10
+
+
+def planted_vectors(spark, n, labels, kind="float"):
+    """n pairs with cosines from 0.931 to 0.96 in 64 dimensions, and one that is far from all."""
+    rng = np.random.default_rng(5)
+    x, r = rng.normal(size=(2, n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    r -= (r * x).sum(1, keepdims=True) * x
+    r /= np.linalg.norm(r, axis=1, keepdims=True)
+    c = rng.uniform(0.931, 0.96, (n, 1))
+    rows = np.vstack([x, c * x + np.sqrt(1 - c * c) * r])
+    return spark.createDataFrame([(i, v.tolist(), i % n % labels) for i, v in enumerate(rows)], f"vec_id long, embedding array<{kind}>, label int")
+
+
+def test_near_vectors_just_above_the_threshold(spark):
+    frame = planted_vectors(spark, 500, 2)
+    exact = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(frame, exact=True, block=32).collect()}
+    assert all(exact[i]["n_links"] == 1 and exact[i]["component_id"] == i % 500 and exact[i]["kept"] == (i < 500) for i in range(1000))
+    assert embedding_dedup.near_duplicates(frame, task_values=64_000).where("n_links = 1").count() >= 996
+
+
+def test_near_vectors_keep_double_precision(spark):
+    """A pair whose cosine reaches the threshold in double precision only by more than single precision can tell."""
+    t = float(np.float32(0.93))
+    up, down = 0.93 + 1e-10, 0.93 - 1e-10
+    rows = [(k, [1.0, 0.0], k // 2) if k % 2 == 0 else (k, [c, float(np.sqrt(1 - c * c))], k // 2) for k, c in ((0, t), (1, up), (2, t), (3, down))]
+    for exact in (False, True):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        assert {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(frame, exact=exact).collect()} == {0: 1, 1: 1, 2: 0, 3: 0}
+
+
+def test_near_vectors_without_ids_and_rows(spark):
+    frame = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (3, [0.0, 1.0], 1)], "vec_id long, embedding array<float>, label int")
+    for exact in (False, True):
+        got = embedding_dedup.near_duplicates(frame, exact=exact).collect()
+        assert sorted((r["vec_id"] is None, r["n_links"], r["kept"]) for r in got) == [(False, 0, True), (True, 1, True), (True, 1, True)]
+        assert embedding_dedup.near_duplicates(frame.limit(0), exact=exact).count() == 0
