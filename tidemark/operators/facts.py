@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.calendar import expand_days
+from tidemark.operators.calendar import add_working_days, expand_days
 from tidemark.operators.scans import Slices
 
 
@@ -35,6 +35,39 @@ def state_periods_sliced(events: DataFrame, entity: str, at: str, tracked: list[
     return ended.select(entity, "valid_from", "valid_to", *tracked, "is_seed", F.col("valid_to").isNull().alias("is_current"))
 
 
+def first_states(entities: DataFrame, log: DataFrame, entity: str, created: str, at: str, tracked: dict[str, tuple[str, str]]) -> DataFrame:
+    """The state that each entity began in, as rows of its change log: entity, ``at`` (its creation), tracked values, is_seed.
+
+    tracked: by column, (the log's column of old values, the entities' column of present ones). What a column began with is
+    the old value of its earliest change (a row where the column isn't null; ties by new, then old value), or, where nothing
+    changed it or no old value is known, the present value. One aggregation of the log, one join with the entities.
+    """
+
+    def began(c: str, old: str) -> Column:
+        return F.min_by(F.col(old), F.when(F.col(c).isNotNull(), F.struct(at, c, old)))
+
+    first = log.groupBy(F.col(entity).alias("_entity")).agg(*[began(c, old).alias(f"_first_{c}") for c, (old, _) in tracked.items()])
+    rows = entities.join(first, F.col(entity) == F.col("_entity"), "left")
+    return rows.select(entity, F.col(created).alias(at), *[F.coalesce(f"_first_{c}", now).alias(c) for c, (_, now) in tracked.items()], F.lit(True).alias("is_seed"))
+
+
+def aged_periods(periods: DataFrame, waiting: Column, planned: Column, is_done: Column, resolved: Column, as_of: str, calendar: DataFrame) -> DataFrame:
+    """Periods with their end, ``days_in_period`` and ``working_days``, both counted from the planned start where a period only
+    waits for it, so that what isn't due yet has no age.
+
+    A period ends where the next one begins; a last one that is done ends when it was resolved (if unknown, where it began),
+    any other stays open and is counted to ``as_of``. Working days of last periods include their last day. A null flag is false.
+    """
+    waits, done = F.coalesce(waiting, F.lit(False)), F.coalesce(is_done, F.lit(False))
+    began = F.greatest(F.col("valid_from"), F.when(waits, planned.cast("timestamp")))
+    closed = F.coalesce("valid_to", F.when(done, F.coalesce(resolved.cast("timestamp"), F.col("valid_from"))))
+    counted = F.coalesce(closed, F.lit(as_of).cast("timestamp"))
+    until = F.date_add(counted.cast("date"), F.when(F.col("valid_to").isNull(), 1).otherwise(0))
+    days = F.greatest(F.lit(0.0), (F.unix_timestamp(counted) - F.unix_timestamp(began)) / 86400.0)
+    rows = periods.select("*", began.cast("date").alias("_began"), until.alias("_until"), closed.alias("_closed"), days.alias("days_in_period"))
+    return add_working_days(rows, "_began", "_until", calendar).withColumn("valid_to", F.col("_closed")).drop("_began", "_until", "_closed")
+
+
 def close_done(periods: DataFrame, is_done: Column, resolved: Column, as_of: str) -> DataFrame:
     """Terminal periods end at their resolution, others stay open; days_in_period counts to the end or to ``as_of``."""
     end = F.coalesce("valid_to", F.when(is_done, F.coalesce(resolved, F.col("valid_from"))))
@@ -82,3 +115,23 @@ def link_bridge(links: DataFrame, items: DataFrame, item: str, blocking: str = "
     gaps = items.select(item).join(blocked, item, "left_anti").select(item, F.lit("(none)").alias("linked"), F.lit(blocking).alias("link_type"), F.lit("Inward").alias("direction"), F.lit("is blocked by").alias("label"))
     both = rows.distinct().unionByName(gaps)
     return both.join(blocked.withColumn("has_blocker", F.lit(True)), item, "left").withColumn("has_blocker", F.coalesce("has_blocker", F.lit(False)))
+
+
+def latest_status(runs: DataFrame, test: str) -> DataFrame:
+    """``test`` and the status name of its latest run, by start, end and run id, nulls first. No window: a maximum, combined
+    before the exchange, so a test with very many runs is no task of its own."""
+    newest = F.max_by("status_name", F.struct("started_on", "finished_on", "run_id"))
+    return runs.where(F.col(test).isNotNull()).groupBy(test).agg(newest.alias("status_name"))
+
+
+def with_test_statuses(bridge: DataFrame, runs: DataFrame, statuses: DataFrame, item: str, test: str) -> DataFrame:
+    """A link bridge with the latest test status of both ends: ``linked_status`` (none: Unknown) and ``item_status`` (none: N/A),
+    and ``lacks_blocker``: the item's own status is Blocked, but nothing is recorded that blocks it.
+
+    statuses: the status dimension, whose ``status`` is matched in any case; a run with another status counts as none.
+    """
+    named = latest_status(runs, test).join(F.broadcast(statuses.select("status")), F.lower("status_name") == F.lower("status"))
+    ends = lambda key, out: named.select(F.col(test).alias(key), F.col("status").alias(out))
+    rows = bridge.join(ends("linked", "linked_status"), "linked", "left").join(ends(item, "item_status"), item, "left")
+    rows = rows.withColumns({"linked_status": F.coalesce("linked_status", F.lit("Unknown")), "item_status": F.coalesce("item_status", F.lit("N/A"))})
+    return rows.withColumn("lacks_blocker", (F.col("item_status") == "Blocked") & ~F.col("has_blocker"))

@@ -94,6 +94,22 @@ def test_statuses(df: DataFrame, name: str, passed: list[str], not_run: str = "N
     return rows.unionByName(df.sparkSession.range(1).select(F.lit(not_run).alias("status"), F.lit(False).alias("is_passed"), F.lit(False).alias("is_run"))).dropDuplicates(["status"])
 
 
+#: Tracker statuses with their coverage and sort order. Any other: Not run, 9; tests without a run: Not run, 6.
+COVERAGE = {"PASSED": ("Passed", 1), "FAILED": ("Failed", 2), "BLOCKED": ("Blocked", 3), "EXECUTING": ("Not run", 4), "TO DO": ("Not run", 5)}
+
+
+def test_status_dimension(df: DataFrame, name: str, description: str) -> DataFrame:
+    """A row a tracker status: status (sentence case), description, coverage, is_final, is_pass, is_fail, is_blocked, is_not_run,
+    sort_order; and one for tests without a run. Repeated names give one row, with the least description."""
+    known = F.create_map(*[F.lit(x) for k, (cover, order) in COVERAGE.items() for x in (k, f"{order}{cover}")])
+    found = F.coalesce(known[F.col(name)], F.lit("9Not run"))
+    rows = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.min(description).alias("description"))
+    rows = rows.select(sentence_case(F.col(name)).alias("status"), F.coalesce("description", F.lit("Unknown")).alias("description"), F.substr(found, F.lit(2)).alias("coverage"), F.substring(found, 1, 1).cast("int").alias("sort_order"), F.lit(False).alias("is_not_run"))
+    none = df.sparkSession.range(1).select(F.lit("Not run").alias("status"), F.lit("Test has not been executed yet").alias("description"), F.lit("Not run").alias("coverage"), F.lit(6).alias("sort_order"), F.lit(True).alias("is_not_run"))
+    flags = {"is_final": F.col("coverage").isin("Passed", "Failed"), "is_pass": F.col("coverage") == "Passed", "is_fail": F.col("coverage") == "Failed", "is_blocked": F.col("coverage") == "Blocked"}
+    return rows.unionByName(none).withColumns(flags)
+
+
 def roles(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("Lead", 1), ("Involved", 2), ("Reporter", 3)], "role string, role_sort int")
 
@@ -103,12 +119,15 @@ def joined_list(df: DataFrame, keys: list[str], value: str, out: str) -> DataFra
     return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(value)), ", ").alias(out))
 
 
-def work_items(items: DataFrame, predecessors: DataFrame, persons: DataFrame, **tree: object) -> DataFrame:
-    """Items with their predecessors' and people's lists, a missing-dates flag and the hierarchy's columns."""
+def work_items(items: DataFrame, predecessors: DataFrame, persons: DataFrame, tests: DataFrame | None = None, columns: list[str] | None = None, **tree: object) -> DataFrame:
+    """Items with their predecessors' and people's lists, a missing-dates flag, the hierarchy's columns and, if there are any,
+    attributes of those that are tests. columns: the ones to return, in order; a name that isn't there is a null text."""
     out = items.withColumn("missing_dates", F.col("start").isNull() | F.col("end").isNull())
     out = out.join(joined_list(predecessors, ["id"], "linked", "predecessors"), "id", "left").join(joined_list(persons, ["id"], "person", "people"), "id", "left")
+    out = out.join(tests, "id", "left") if tests is not None else out
     out = out.withColumns({c: F.coalesce(c, F.lit("None")) for c in ("predecessors", "people")})
-    return enrich(out, "id", "parent", "code", "rank", "type_rank", **tree)
+    made = enrich(out, "id", "parent", "code", "rank", "type_rank", **tree)
+    return made.select(*[F.col(c) if c in made.columns else F.lit(None).cast("string").alias(c) for c in columns]) if columns else made
 
 
 def schedule_fact(items: DataFrame, changes: DataFrame, links: DataFrame, as_of: str, active: list[str]) -> DataFrame:

@@ -95,9 +95,14 @@ def _unlike(kind: T.DataType) -> T.DataType:
     return T.StructType([T.StructField(n, _unlike(f.dataType)) for n, f in zip(names, kind.fields, strict=True)])
 
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    """What a JSON text may lack, it may lack everywhere: no declared field or element is certain."""
+    return T.StructType.fromJson(json.loads(re.sub(r'("nullable"|"containsNull"|"valueContainsNull"):false', r"\1:true", schema.json())))
+
+
 def auto_standardize(df: DataFrame, source: str = "raw_data", depth: int = 5, carry: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """JSON payload to flat columns; a declared schema skips the inference pass."""
-    schema = schema or infer_schema(df, source)
+    schema = _nullable(schema or infer_schema(df, source))
     plain = _unlike(schema)
     body = F.from_json(source, schema)
     parsed = df.select(*(carry or []), (body if plain == schema else body.cast(plain)).alias("_p"))

@@ -99,8 +99,12 @@ def slicer(df: DataFrame, label: str, sort_by: str | None = None, unlike: list[s
     return rows.select(*cols).distinct().orderBy(sort_by or label)
 
 
-def gantt_rows(df: DataFrame, path: str, status: str) -> DataFrame:
-    """Items with both planned dates by path, with a status class and whether actual dates exist."""
+def gantt_rows(df: DataFrame, path: str, status: str, label: tuple[str, str] | None = None, milestones: bool | None = None) -> DataFrame:
+    """Items with both planned dates by path, with a status class and whether actual dates exist. label: two columns that are
+    joined to ``label``, a null one left out. milestones: only items that are (or aren't) one; None: all."""
     low = F.lower(F.col(status))
     kind = F.when(low.contains("done") | low.contains("closed"), "done").when(low.contains("block"), "blocked").when(low.contains("progress"), "active").otherwise("planned")
-    return df.where("start is not null and end is not null").withColumns({"status_class": kind, "is_milestone": F.col("start") == F.col("end"), "has_actual": F.col("actual_start").isNotNull()}).orderBy(F.col(path).asc_nulls_last())
+    rows = df.where("start is not null and end is not null").withColumns({"status_class": kind, "is_milestone": F.col("start") == F.col("end"), "has_actual": F.col("actual_start").isNotNull()})
+    rows = rows.withColumn("label", F.concat_ws(": ", *label)) if label else rows
+    rows = rows if milestones is None else rows.where(F.col("is_milestone") == F.lit(milestones))
+    return rows.orderBy(F.col(path).asc_nulls_last())

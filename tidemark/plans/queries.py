@@ -101,23 +101,23 @@ def upsert_orders(spark, sf):
 def _snapshots(spark, sf):
     cust = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     orders = _t(spark, sf, "orders")
-    last = lambda cut: orders.where(F.col("o_orderdate") < F.lit(cut).cast("timestamp")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("priority")).join(cust, "c_custkey")
-    return last("1996-01-01"), last("1998-01-01")
+    last = lambda rows: rows.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("priority")).join(cust, "c_custkey")
+    return last(orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))), last(orders)
 
 
 _SNAPSHOTS = """
 a AS (SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' AND o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1),
-b AS (SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1)"""
+b AS (SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1)"""
 
 
 @_query(f"""
 WITH {_SNAPSHOTS}
-SELECT a.k AS c_custkey, a.p AS priority, TIMESTAMP '1996-01-01' AS valid_from, CASE WHEN b.p <> a.p THEN TIMESTAMP '1998-01-01' END AS valid_to, NOT coalesce(b.p <> a.p, false) AS is_current FROM a LEFT JOIN b USING (k)
-UNION ALL SELECT b.k, b.p, TIMESTAMP '1998-01-01', NULL, true FROM b LEFT JOIN a USING (k) WHERE a.k IS NULL OR a.p <> b.p""")
+SELECT a.k AS c_custkey, a.p AS priority, TIMESTAMP '1996-01-01' AS valid_from, CASE WHEN b.p <> a.p THEN TIMESTAMP '2000-01-01' END AS valid_to, NOT coalesce(b.p <> a.p, false) AS is_current FROM a LEFT JOIN b USING (k)
+UNION ALL SELECT b.k, b.p, TIMESTAMP '2000-01-01', NULL, true FROM b LEFT JOIN a USING (k) WHERE a.k IS NULL OR a.p <> b.p""")
 def scd2_snapshot(spark, sf):
     old, new = _snapshots(spark, sf)
     first = history.scd2_merge(None, old, ["c_custkey"], ["c_mktsegment", "priority"], "1996-01-01")
-    return history.scd2_merge(first, new, ["c_custkey"], ["c_mktsegment", "priority"], "1998-01-01").select("c_custkey", "priority", "valid_from", "valid_to", "is_current")
+    return history.scd2_merge(first, new, ["c_custkey"], ["c_mktsegment", "priority"], "2000-01-01").select("c_custkey", "priority", "valid_from", "valid_to", "is_current")
 
 
 @_query(f"""WITH {_SNAPSHOTS}
@@ -394,7 +394,7 @@ def conditional_pivot(spark, sf):
 
 
 _LINKS = """
-pairs AS (SELECT DISTINCT a.l_partkey AS x, b.l_partkey AS y FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 WHERE a.l_partkey <> b.l_partkey),
+pairs AS (SELECT DISTINCT a.l_partkey AS x, b.l_partkey AS y FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_partkey <> b.l_partkey),
 links AS (SELECT x AS item, y AS linked, CASE WHEN x % 2 = 0 THEN 'Blocks' ELSE 'Relates' END AS t, 'Outward' AS direction, CASE WHEN x % 2 = 0 THEN 'blocks' ELSE 'relates to' END AS label FROM pairs
   UNION ALL SELECT y, x, CASE WHEN x % 2 = 0 THEN 'Blocks' ELSE 'Relates' END, 'Inward', CASE WHEN x % 2 = 0 THEN 'is blocked by' ELSE 'relates to' END FROM pairs),
 blocked AS (SELECT DISTINCT y AS item FROM pairs WHERE x % 2 = 0),
@@ -404,8 +404,8 @@ bridge AS (SELECT DISTINCT CAST(item AS VARCHAR) AS item, CAST(linked AS VARCHAR
 
 def _bridge(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("p"), "l_partkey")
-    a, b = li.where("l_linenumber = 1").alias("a"), li.where("l_linenumber = 2").alias("b")
-    pairs = a.join(b, F.col("a.l_orderkey") == F.col("b.l_orderkey")).where("a.p <> b.p").select(F.col("a.p").alias("x"), F.col("b.p").alias("y"), (F.col("a.l_partkey") % 2 == 0).alias("even")).distinct()
+    a, b = li.alias("a"), li.alias("b")
+    pairs = a.join(b, (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("a.l_linenumber") + 1 == F.col("b.l_linenumber"))).where("a.p <> b.p").select(F.col("a.p").alias("x"), F.col("b.p").alias("y"), (F.col("a.l_partkey") % 2 == 0).alias("even")).distinct()
     kind = F.when(F.col("even"), "Blocks").otherwise("Relates").alias("link_type")
     labels = [F.when(F.col("even"), "blocks").otherwise("relates to").alias("outward_label"), F.when(F.col("even"), "is blocked by").otherwise("relates to").alias("inward_label")]
     none = F.lit(None).cast("string")
@@ -524,4 +524,4 @@ def inactive_relationship(spark, sf):
     return made[0].unionByName(made[1]).withColumnRenamed("n_name", "nation")
 
 
-from tidemark.plans import item_queries, scale_queries  # noqa: E402,F401  register more queries in the tables above
+from tidemark.plans import detail_queries, item_queries, scale_queries  # noqa: E402,F401  register more queries in the tables above
