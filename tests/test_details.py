@@ -55,3 +55,29 @@ def test_gantt_labels_and_milestones(spark, wanted, ids):
     rows = spark.createDataFrame([(1, "a", "A", "one", 1, 2), (2, "b", None, "two", 3, 3), (3, "c", "C", "x", None, 3)], "id int, path string, code string, summary string, start int, end int").withColumns({"status": F.lit("Done"), "actual_start": F.lit(None).cast("int")})
     got = metrics.gantt_rows(rows, "path", "status", ("code", "summary"), wanted).collect()
     assert [r["id"] for r in got] == ids and {r["label"] for r in got} <= {"A: one", "two"}
+
+
+def test_rich_text_of_any_shape(spark):
+    import json
+
+    from tidemark.functions.documents import rich_text, rich_text_flat
+
+    text = lambda t: {"type": "text", "text": t}
+    item = {"type": "listItem", "content": [{"type": "paragraph", "content": [text("a"), {"type": "hardBreak"}, {"type": "mention", "attrs": {"text": "bo"}}]}]}
+    cases = {
+        json.dumps({"type": "doc", "content": [{"type": "bulletList", "content": [item, item]}, {"type": "rule"}, {"type": "paragraph", "content": [text(" é "), {"type": "emoji", "attrs": {"text": ":)"}}, {"type": "hardBreak"}]}]}): "a\n@boa\n@bo\n\né :)",
+        json.dumps([{"type": "paragraph", "content": [[text("x")], {"type": "mention"}, {"type": "text"}, 7, None]}]): "x@",
+        '"said"': "said", "5": "5", "0": None, "false": None, "true": "True", "null": None, '""': None, "{}": None, "[]": None, "no json": "no json", "": "",
+    }
+    frame = spark.createDataFrame([(k,) for k in [*cases, None]], "d string")
+    got = {r[0]: r[1] for r in frame.select("d", rich_text(F.col("d"))).collect()}
+    assert got == {**cases, None: None}
+    assert "Python" not in frame.select(rich_text(F.col("d")))._jdf.queryExecution().executedPlan().toString()
+    assert spark.createDataFrame([(json.dumps([{"type": "p", "content": [{"type": "hardBreak"}, text("x")]}]),)], "d string").select(rich_text_flat(F.col("d"))).first()[0] == "x"
+    deep = text("low")
+    for _ in range(14):
+        deep = {"type": "listItem", "content": [deep]}
+    frame = spark.createDataFrame([(json.dumps([deep]),)], "d string")
+    with pytest.raises(Exception, match="nested too deeply"):
+        frame.select(rich_text(F.col("d"))).collect()
+    assert frame.select(rich_text(F.col("d"), depth=20)).first()[0] == "low"
