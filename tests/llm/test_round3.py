@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, fill_middle, queries, repeated_spans, whitening
+from tidemark.llm import embedding_dedup, fill_middle, media, queries, repeated_spans, whitening
 
 SF = "/root/testdata/sf0.001"
 LONG = "é😀a\n" * 60_000
@@ -217,3 +217,55 @@ def test_near_vectors_without_ids_and_rows(spark):
         got = embedding_dedup.near_duplicates(frame, exact=exact).collect()
         assert sorted((r["vec_id"] is None, r["n_links"], r["kept"]) for r in got) == [(False, 0, True), (True, 1, True), (True, 1, True)]
         assert embedding_dedup.near_duplicates(frame.limit(0), exact=exact).count() == 0
+
+
+def zipped(members):
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return out.getvalue()
+
+
+def test_media_in_containers_and_end_marks():
+    wav, pdf = media.to_wav(b"abcd"), b"%PDF-1.4 x startxref 9 %%EOF"
+    updated = pdf + b" more startxref 12 %%EOF"
+    inner = zipped({"a.wav": wav})
+    outer = zipped({"inner.zip": inner, "b.txt": b"PK\x03\x04 no archive", "c.wav": wav})
+    assert media.sniff_bytes(updated + wav) == [("pdf", 0, len(updated)), ("wav", len(updated), len(wav))]
+    assert media.sniff_bytes(pdf + pdf) == [("pdf", 0, len(pdf)), ("pdf", len(pdf), len(pdf))]
+    assert media.sniff_bytes(b"zz" + outer + wav) == [("zip", 2, len(outer)), ("wav", 2 + len(outer), len(wav))]
+    got = media.sniff_nested(b"zz" + outer)
+    at = 2 + outer.index(inner)
+    assert got == [("zip", 2, len(outer), None), ("zip", at, len(inner), 2), ("wav", 2 + outer.index(wav), len(wav), at), ("wav", 2 + outer.rindex(wav), len(wav), 2)]
+    assert media.sniff_bytes(b"\xff\xd8\xff\xda\x00\x00" * 200_000 + b"PK\x03\x04" * 200_000 + b"%PDF-1" * 200_000) == []
+    assert media.sniff_bytes(media.to_wav(wav)) == [("wav", 0, len(media.to_wav(wav)))]
+
+
+def test_sniff_keeps_a_callers_columns(spark):
+    wav = media.to_wav(b"abcd")
+    frame = spark.createDataFrame([(bytearray(wav), "png", "mine", 1), (bytearray(wav), "png", "mine", 1), (None, None, None, 2), (bytearray(b""), "wav", "x", 3)], "blob binary, kind string, Media string, media_type int")
+    out = media.sniff(frame, "blob", "kind")
+    rows = sorted(out.collect(), key=lambda r: r["media_type"])
+    assert [r["Media"] for r in rows] == ["mine", "mine", None, "x"] and [r["_media_type"] for r in rows] == ["wav", "wav", None, None]
+    assert [r["_type_corrected"] for r in rows] == [True, True, False, False] and rows[0]["_media"][0]["within"] is None
+    assert media.sniff(frame.limit(0), "blob", "kind").count() == 0
+
+
+def test_digests_are_those_of_the_padded_texts(spark):
+    """Every digest against its expected value, from the bytes alone."""
+    import zlib
+
+    texts = [(1, "abc"), (2, None), (3, ""), (4, "é" * 96), (5, LONG), (5, LONG), (None, "x\ud800".encode("utf-8", "replace").decode())]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("media", F.lit("mine"))
+    want = []
+    for i, t in texts:
+        b = (t or "").encode()
+        full = b + b" " * (-len(b) % 192 if b else 192)
+        stored = media.to_wav(full)
+        want.append((i, len(b), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-16:]), len(stored), hashlib.sha256(stored).hexdigest()))
+    got = media.media_digest(media.text_media(frame)).collect()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)[:7]) for r in got)

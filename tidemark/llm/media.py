@@ -3,6 +3,7 @@
 One Aho-Corasick automaton locates the first bytes of all known formats in a column of binary values. A format's validator
 then walks the structure from there (chunk lengths, checksums, end marks); what it confirms is a media object with an
 offset and a length, what it rejects is chance. A value's type is that of the object at offset 0, whatever was declared.
+End marks that a validator needs are collected once a value, so repeated magic bytes without an end cost no rescans.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .names import free_prefix
+
 # Magic bytes by type.
 MAGIC = {"png": b"\x89PNG\r\n\x1a\n", "gif": b"GIF8", "jpeg": b"\xff\xd8\xff", "wav": b"RIFF", "bmp": b"BM", "pdf": b"%PDF-", "zip": b"PK\x03\x04"}
 _UNIT = 192
@@ -91,13 +94,12 @@ def _gif(b: bytes, at: int) -> int:
     return 0
 
 
-def _jpeg(b: bytes, at: int) -> int:
+def _jpeg(b: bytes, at: int, last_mark: int) -> int:
     pos = at + 2
     while pos + 4 <= len(b) and b[pos] == 0xFF:
         mark = b[pos + 1]
         if mark == 0xDA:
-            end = b.find(b"\xff\xd9", pos)
-            return end + 2 - at if end > 0 else 0
+            return b.find(b"\xff\xd9", pos) + 2 - at if last_mark >= pos else 0
         if mark in (0x00, 0xD8, 0xD9):
             return 0
         pos += 2 + struct.unpack_from(">H", b, pos + 2)[0]
@@ -105,44 +107,76 @@ def _jpeg(b: bytes, at: int) -> int:
 
 
 def _pdf(b: bytes, at: int) -> int:
-    end = b.find(b"%%EOF", at)
+    """To the last end mark before another PDF begins: updates and linearised files have several. A PDF that holds another one
+    as it is ends before that."""
+    after = b.find(b"%PDF-", at + 5)
+    end = b.rfind(b"%%EOF", at, after if after >= 0 else len(b))
     return end + 5 - at if end > 0 and b.find(b"startxref", at, end) > 0 and b[at + 5 : at + 6].isdigit() else 0
 
 
-def _zip(b: bytes, at: int) -> int:
-    end = b.find(b"PK\x05\x06", at)
-    if end < 0 or end + 22 > len(b):
-        return 0
-    size, start, note = struct.unpack_from("<IIH", b, end + 12)
-    return end + 22 + note - at if at + start + size == end and end + 22 + note <= len(b) else 0
+def _archives(b: bytes) -> dict[int, int]:
+    """Ends of ZIP archives by their start, which an end record names by the sizes before it; of several, the last."""
+    out, end = {}, b.find(b"PK\x05\x06")
+    while end >= 0:
+        if end + 22 <= len(b):
+            size, start, note = struct.unpack_from("<IIH", b, end + 12)
+            if end + 22 + note <= len(b):
+                out[end - size - start] = end + 22 + note
+        end = b.find(b"PK\x05\x06", end + 4)
+    return out
 
 
-VALIDATE = {"png": _png, "gif": _gif, "jpeg": _jpeg, "wav": _wav, "bmp": _bmp, "pdf": _pdf, "zip": _zip}
+VALIDATE = {"png": _png, "gif": _gif, "wav": _wav, "bmp": _bmp, "pdf": _pdf}
+CONTAINERS = ("pdf", "zip")
 
 
-def sniff_bytes(value: bytes) -> list[tuple[str, int, int]]:
-    """(type, offset, length) of confirmed media in order; what lies inside a confirmed object is part of it."""
-    out, free = [], 0
+def sniff_nested(value: bytes) -> list[tuple[str, int, int, int | None]]:
+    """(type, offset, length, offset of the container) of confirmed media in order. Media stored as they are in a PDF or ZIP are
+    found, too, and lie wholly in it; what looks like media within any other object is part of that one."""
+    out, around, last_mark, archives = [], [], -2, None
     for end, (kind, n) in _automaton().iter(value.decode("latin-1")):
         at = end + 1 - n
-        if at >= free and (length := VALIDATE[kind](value, at)):
-            out.append((kind, at, length))
-            free = at + length
+        while around and at >= around[-1][1]:
+            around.pop()
+        if around and around[-1][2] not in CONTAINERS:
+            continue
+        if kind == "zip":
+            archives = _archives(value) if archives is None else archives
+            length = archives.get(at, at) - at
+        elif kind == "jpeg":
+            last_mark = value.rfind(b"\xff\xd9") if last_mark == -2 else last_mark
+            length = _jpeg(value, at, last_mark)
+        else:
+            length = VALIDATE[kind](value, at)
+        if length > 0 and (not around or at + length <= around[-1][1]):
+            out.append((kind, at, length, around[-1][0] if around else None))
+            around.append((at, at + length, kind))
     return out
 
 
+def sniff_bytes(value: bytes) -> list[tuple[str, int, int]]:
+    """(type, offset, length) of confirmed media in order that lie in no other."""
+    return [x[:3] for x in sniff_nested(value) if x[3] is None]
+
+
 def sniff(df: DataFrame, value: str, declared: str) -> DataFrame:
     """``df`` with ``media_type`` (of the object at offset 0, else null), ``type_corrected`` (it differs from the declared
-    one) and ``media`` (array of type, offset, length). A null or empty value has no media."""
+    one) and ``media`` (array of type, offset, length and ``within``, the offset of the container, null outside of one).
+
+    If ``df`` has one of these names, in any case, all three begin with ``free_prefix``. A null or empty value has no media and
+    no type; long values are searched whole; repeated rows get a row each; an empty table stays empty.
+    """
+    p = free_prefix(df) if {c.lower() for c in df.columns} & {"media", "media_type", "type_corrected"} else ""
 
-    @F.pandas_udf("array<struct<type:string,offset:long,length:long>>")
+    @F.pandas_udf("array<struct<type:string,offset:long,length:long,within:long>>")
     def found(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in values:
-            yield pd.Series([[{"type": k, "offset": o, "length": n} for k, o, n in sniff_bytes(bytes(v))] if v is not None else [] for v in s])
+            yield pd.Series([[{"type": k, "offset": o, "length": n, "within": w} for k, o, n, w in sniff_nested(bytes(v))] if v is not None else [] for v in s], dtype=object)
 
-    kind = F.when(F.try_element_at("media", F.lit(1))["offset"] == 0, F.try_element_at("media", F.lit(1))["type"])
-    out = df.withColumn("media", found(F.col(value))).withColumn("media_type", kind)
-    return out.withColumn("type_corrected", F.coalesce(F.col("media_type") != F.coalesce(F.col(declared), F.lit("")), F.lit(False)))
+    first = F.try_element_at(f"{p}media", F.lit(1))
+    kind = F.when(first["offset"] == 0, first["type"])
+    out = df.withColumn(f"{p}media", found(F.col(value))).withColumn(f"{p}media_type", kind)
+    return out.withColumn(f"{p}type_corrected", F.coalesce(F.col(f"{p}media_type") != F.coalesce(F.col(declared), F.lit("")), F.lit(False)))
 
 
 def to_wav(payload: bytes, rate: int = 8000) -> bytes:
@@ -180,7 +214,8 @@ def text_media(documents: DataFrame) -> DataFrame:
 def media_digest(media: DataFrame) -> DataFrame:
     """What a reader gets from the stored bytes: the carved object's samples, checksums and features.
 
-    Equal texts give equal values. Null text: empty, so one unit of spaces. Repeated rows: a row each.
+    Equal texts give equal values. Null text: empty, so one unit of spaces. Long texts: whole. Repeated rows: a row each. No
+    rows: none. Of the caller's columns only those named are read, so clashing names don't matter.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
