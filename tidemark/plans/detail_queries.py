@@ -38,7 +38,7 @@ q AS (SELECT *, CASE WHEN state = 'purchase' THEN CASE WHEN user_id % 2 = 0 THEN
   CASE WHEN state = 'view' AND user_id % 5 > 0 THEN greatest(valid_from, CAST(CAST(valid_from AS DATE) + CAST(user_id % 5 AS INTEGER) AS TIMESTAMP)) ELSE valid_from END AS began FROM p),
 r AS (SELECT *, coalesce(next, done) AS valid_to, coalesce(next, done, TIMESTAMP '2030-01-01') AS counted FROM q),
 w AS (SELECT d, count(*) FILTER (isodow(d) < 6 AND NOT (month(d) = 12 AND day(d) = 25)) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2015-01-01', TIMESTAMP '2031-12-31', INTERVAL 1 DAY)) AS DATE) AS d))
-SELECT user_id, valid_from, valid_to, round(greatest(0.0::DOUBLE, (epoch(counted) - epoch(began)) / 86400), 4) AS days_in_period, CAST(greatest(b.n - a.n, 0) AS BIGINT) AS working_days
+SELECT user_id, valid_from, valid_to, CAST(greatest(0, epoch(counted) - epoch(began)) AS BIGINT) AS seconds, CAST(greatest(b.n - a.n, 0) AS BIGINT) AS working_days
 FROM r LEFT JOIN w a ON a.d = CAST(began AS DATE) LEFT JOIN w b ON b.d = CAST(counted AS DATE) + CASE WHEN next IS NULL THEN 1 ELSE 0 END""")
 def aged_periods(spark, sf):
     days = calendar.date_dimension(spark, "2015-01-01", "2031-12-31")
@@ -48,7 +48,7 @@ def aged_periods(spark, sf):
     user, planned = F.col("user_id"), F.date_add(F.to_date("valid_from"), (F.col("user_id") % 5).cast("int"))
     resolved = F.when(user % 2 == 0, F.col("valid_from") + F.expr("interval 36 hours"))
     aged = facts.aged_periods(periods, F.col("state") == "view", F.when(user % 5 > 0, planned), F.col("state") == "purchase", resolved, "2030-01-01", work)
-    return aged.select("user_id", "valid_from", "valid_to", F.round("days_in_period", 4).alias("days_in_period"), "working_days")
+    return aged.select("user_id", "valid_from", "valid_to", F.round(F.col("days_in_period") * 86400).cast("long").alias("seconds"), "working_days")
 
 
 _TRACKED = "CASE l_returnflag WHEN 'A' THEN 'passed' WHEN 'R' THEN 'blocked' ELSE 'aborted' END"
