@@ -9,6 +9,8 @@ partitions. All on Spark: what the driver gets is a handful of sums.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,19 +59,22 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, most
         w = w.join(goal.withColumnRenamed("goal", f"goal_{name}"), name, "left")
     w, start = scratch.keep(w), 0
     small = w.count() <= _SMALL
+    # goals of values that no cell has can't be met by any fit
+    unmet = [goal.join(w.select(name).distinct(), name, "left_anti").select("goal") for name, goal in targets.items()]
+    missed = reduce(DataFrame.unionAll, unmet).agg(F.max("goal")).first()[0] or 0.0
+    sums = {name: F.sum("w").over(Window.partitionBy(name)) for name in targets}
+    goals = {name: F.coalesce(f"goal_{name}", F.lit(0.0)) for name in targets}
     while start < most_rounds:
         w = w.coalesce(1) if small else w  # few cells: the sums of a round need no exchange
         for _ in range(min(4, most_rounds - start)):
             for name in targets:
-                fitted = F.when(F.col("sum") > 0, F.col("w") * F.coalesce(f"goal_{name}", F.lit(0.0)) / F.col("sum")).otherwise(0.0)
-                w = w.withColumn("sum", F.sum("w").over(Window.partitionBy(name))).withColumn("w", F.least(fitted, "most") if bounded else fitted).drop("sum")
+                fitted = F.when(F.col("sum") > 0, F.col("w") * goals[name] / F.col("sum")).otherwise(0.0)
+                w = w.withColumn("sum", sums[name]).withColumn("w", F.least(fitted, "most") if bounded else fitted).drop("sum")
             start += 1
-        w, gaps = scratch.keep(w), None
-        for name, goal in targets.items():
-            now = w.groupBy(name).agg(F.sum("w").alias("sum")).join(goal, name, "full")
-            gap = now.select(F.abs(F.coalesce("sum", F.lit(0.0)) - F.coalesce("goal", F.lit(0.0))).alias("gap"))
-            gaps = gap if gaps is None else gaps.unionAll(gap)
-        before, off = off, gaps.agg(F.max("gap")).first()[0] or 0.0
+        # the gaps are written with the weights, so that a round of sums is one job
+        w = scratch.keep(w.withColumn("gap", F.array_max(F.array(*[F.abs(sums[name] - goals[name]) for name in targets]))))
+        before, off = off, max(missed, w.agg(F.max("gap")).first()[0] or 0.0)
+        w = w.drop("gap")
         if off < near or (before and off > 0.98 * before):
             break
     return w.drop(*[f"goal_{name}" for name in targets]), off
