@@ -62,9 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
+    docs, scratch, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = scratch.keep(docs)
+            path = scratch.write(docs)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            if before:  # a stage reads its predecessor's table only
+                scratch.drop(before)
+            before = path
     return docs
