@@ -298,6 +298,41 @@ def test_nearest_examples_are_exact():
         assert [round(s, 9) for s, _ in index.nearest(query)] == [s for s, _ in want]
 
 
+def test_votes_and_curve_equal_plain_ones():
+    rng = random.Random(4)
+    terms = {f"t{i}".encode(): 1 + rng.random() for i in range(40)}
+    pick = lambda y: rng.sample(sorted(terms)[: 30 if y else 40], rng.randint(1, 6))
+    examples = [(i, y, {t: rng.randint(1, 3) for t in pick(y)}) for i in range(400) for y in (int(rng.random() < 0.4),)]
+    own = [sum(y == c for _, y, _ in examples) for c in (0, 1)]
+    index = toxicity.ToxicIndex(terms, examples, (3 * own[0], own[1]), k=7, block=16)
+    names = sorted(terms)
+
+    def unit(counts):
+        v = np.array([(1 + np.log(counts[t])) * terms[t] if t in counts else 0.0 for t in names])
+        return v / np.linalg.norm(v)
+
+    rows = {i: (y, unit(counts)) for i, y, counts in examples}
+
+    def vote(v, leave=None):
+        near = sorted((-round(float(x @ v), 12), i, y) for i, (y, x) in rows.items() if i != leave and x @ v > 1e-12)[:7]
+        weight = [(c * c * (1 if y else 3), y) for c, _, y in near]
+        return sum(w * y for w, y in weight) / sum(w for w, _ in weight) if near else None
+
+    votes = sorted(((vote(rows[i][1], i), at, rows[i][0]) for at, i in enumerate(index.ids)), key=lambda x: (x[0], x[1]))
+    v, y = np.array([x[0] for x in votes]), np.array([x[2] for x in votes], float)
+    w = np.where(y == 1, 1.0, 3.0)
+    fit = [max(min((w * y)[a : b + 1].sum() / w[a : b + 1].sum() for b in range(i, len(v))) for a in range(i + 1)) for i in range(len(v))]
+    prior, pools = min(1.0, w.sum() / len(w)), {}
+    for x, label, weight, level in zip(v, y, w, fit, strict=True):
+        pools[level] = pools.get(level, np.zeros(3)) + np.array([x, label, 1]) * weight
+    want = np.array([(p[0] / p[2], (p[1] + 0.02 * prior) / (p[2] + 0.04 * prior)) for p in pools.values()])
+    assert len(want) > 3 and np.allclose(np.array(index.curve).T, want, atol=1e-9)
+    for _ in range(50):
+        query = {t: rng.randint(1, 3) for t in rng.sample(names, 4)}
+        got, _ = index._vote(index.nearest(query))
+        assert abs(got - vote(unit(query))) < 1e-9
+
+
 def test_toxicity(spark, odd, none):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
