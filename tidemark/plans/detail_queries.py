@@ -10,7 +10,9 @@ from tidemark.operators import calendar, facts, recipes, semi, tree, variants
 from tidemark.operators.semi import ExplodeSpec, Mapping
 from tidemark.plans import metrics
 from tidemark.plans.queries import _HEAP, _LINKS, _bridge, _heap, _query, _sql_guid, _t, allocation_roles
-from tidemark.sources import landing
+from tidemark.sources import landing, sinks
+from tidemark.sources.work import Scratch
+from tidemark.streaming.landing import windowed_counts
 
 _THIRD = "o_orderkey % 3 = 0"
 
@@ -222,3 +224,31 @@ SELECT 'Lead' AS role, 1 AS role_sort, count(*) AS pairs FROM l UNION ALL SELECT
 def role_counts(spark, sf):
     counts = allocation_roles(spark, sf).groupBy(F.initcap("role").alias("role")).agg(F.count("*").alias("pairs"))
     return recipes.roles(spark).join(counts, "role", "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
+
+
+# -- roles of one dimension, windows of events, dates before 1582
+
+
+@_query("""SELECT s.n_name AS buyer_n_name, t.n_name AS seller_n_name, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS pieces FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+JOIN supplier ON s_suppkey = l_suppkey JOIN nation s ON s.n_nationkey = c_nationkey JOIN nation t ON t.n_nationkey = s_nationkey GROUP BY ALL""")
+def nation_roles(spark, sf):
+    """One dimension joined in two roles."""
+    lines = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(_t(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(_t(spark, sf, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+    counts = lines.groupBy("c_nationkey", "s_nationkey").agg(F.count("*").alias("lines"), F.sum("l_quantity").cast("long").alias("pieces"))
+    nations = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    buyer, seller = sinks.role_playing(nations, "buyer"), sinks.role_playing(nations, "seller")
+    named = counts.join(buyer, F.col("c_nationkey") == F.col("buyer_n_nationkey")).join(seller, F.col("s_nationkey") == F.col("seller_n_nationkey"))
+    return named.select("buyer_n_name", "seller_n_name", "lines", "pieces")
+
+
+@_query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    return windowed_counts(_t(spark, sf, "events"), "ts", ["event_type"], "1 hour")
+
+
+@_query("SELECT o_orderkey, CAST(o_orderdate - INTERVAL 500 YEAR AS DATE) AS old_date FROM orders")
+def ancient_orders(spark, sf):
+    """Dates before the calendar reform, written and read as they stand."""
+    sinks.ancient_dates(spark)
+    return Scratch(spark).keep(_t(spark, sf, "orders").select("o_orderkey", F.add_months(F.col("o_orderdate").cast("date"), -6000).alias("old_date")))
