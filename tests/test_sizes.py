@@ -33,7 +33,7 @@ def deep_events(tmp_path):
     return tmp_path
 
 
-@pytest.mark.parametrize("name", ["dense_levels", "rollup_path", "sort_path", "tree_rebuild"])
+@pytest.mark.parametrize("name", ["dense_levels", "sort_path", "rollup_path", "tree_rebuild", "work_items", "typed_levels"])
 def test_hierarchies_deeper_than_their_level_columns(spark, deep_events, name):
     held(spark, deep_events, name)
 

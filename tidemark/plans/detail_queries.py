@@ -99,7 +99,7 @@ def work_items(spark, sf):
     tests = events.where("event_id % 3 = 1").select(i.alias("id"), F.col("event_type").alias("test_type"))
     items = _heap(spark, sf).withColumnRenamed("kind", "type_rank")
     wanted = ["id", "code", "missing_dates", "predecessors", "people", "test_type", "parent_key", *_TIERS.values(), "level_1", "level_4", "depth", "sort_path", "sprint"]
-    return recipes.work_items(items, before, persons, tests, wanted, levels={0: 1, 1: 2, 2: 3}, tiers=_TIERS, max_depth=12)
+    return recipes.work_items(items, before, persons, tests, wanted, levels={0: 1, 1: 2, 2: 3}, tiers=_TIERS, max_depth=12, any_depth=True)
 
 
 @_query("""SELECT o_orderkey, o_orderpriority || ': ' || o_orderstatus AS label, o_orderdate = o_orderdate + to_days(CAST(o_orderkey % 4 AS INTEGER)) AS is_milestone FROM orders WHERE o_orderkey % 7 > 0 AND o_orderkey % 4 > 0""")
