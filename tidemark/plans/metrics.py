@@ -43,20 +43,21 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def conflict_days(days: DataFrame, resource: str, day: str, hours: str, capacity: str) -> DataFrame:
-    """(resource, day) pairs whose hours exceed the capacity."""
-    per = days.groupBy(resource, day).agg(F.sum(hours).alias("hours"), F.max(capacity).alias("capacity"))
-    return per.where(F.col("hours") > F.col("capacity"))
+def conflict_days(days: DataFrame, resource: str, day: str, hours: str, capacity: str, block: str | None = None) -> DataFrame:
+    """(resource, day) pairs whose hours exceed the capacity. block: a column that the day decides and rows are partitioned by."""
+    per = days.groupBy(resource, *([block] if block else []), day).agg(F.sum(hours).alias("hours"), F.max(capacity).alias("capacity"))
+    return per.where(F.col("hours") > F.col("capacity")).select(resource, day, "hours", "capacity")
 
 
 def overallocated(allocations: DataFrame, resource: str, weight: str, capacity: str) -> DataFrame:
     return allocations.groupBy(resource).agg(F.sum(weight).alias("load"), F.max(capacity).alias("capacity")).withColumn("is_overallocated", F.col("load") > F.col("capacity"))
 
 
-def capacity_grid(days: DataFrame, resource: str, day: str, grain: str, value: Column, low: float, high: float) -> DataFrame:
-    """resource by day or Monday week, a value and its load band by two thresholds."""
+def capacity_grid(days: DataFrame, resource: str, day: str, grain: str, value: Column, low: float, high: float, block: str | None = None) -> DataFrame:
+    """resource by day or Monday week, a value and its load band by two thresholds. block: a column that the period decides
+    and rows are partitioned by."""
     period = F.col(day).cast("date") if grain == "day" else F.trunc(day, "week")
-    out = days.groupBy(resource, period.alias("period")).agg(value.alias("load"))
+    out = days.groupBy(resource, *([block] if block else []), period.alias("period")).agg(value.alias("load")).select(resource, "period", "load")
     band = F.when(F.col("load") > high, "over").when(F.col("load") > low, "busy").otherwise("free")
     return out.withColumns({"load_band": band, "span": F.date_format("period", "MMM yyyy")})
 
