@@ -51,7 +51,7 @@ def test_allocated_days_travel_as_blocks(spark, tmp_path, monkeypatch):
     """Days are listed behind the last exchange of single rows: no exchange carries one row a day."""
     duckdb.sql(f"COPY (SELECT i // 3 AS l_orderkey, i % 40 AS l_partkey, i % 7 AS l_suppkey, (i % 4)::INTEGER AS l_linenumber, (i % 400)::DOUBLE AS l_quantity, i * 1300.5 AS l_extendedprice, TIMESTAMP '1969-11-28 08:00:00' + INTERVAL (i) DAY AS l_shipdate FROM range(500) t(i)) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
     monkeypatch.setattr(facts, "partitions", lambda df: 3)
-    for name in ("capacity_grid", "day_allocation"):
+    for name in ("capacity_grid", "day_allocation", "conflict_days"):
         assert held(spark, tmp_path, name)
         plan = plan_queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         exchanges = [line.partition("Exchange hashpartitioning(")[2] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
