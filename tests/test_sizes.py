@@ -1,10 +1,13 @@
 """Queries held against their SQL on tables that are deeper or larger than the given ones."""
 
+import re
+
 import duckdb
 import pytest
 
-from tidemark.operators import facts, intervals, tree
-from tidemark.plans import detail_queries, queries as plan_queries  # noqa: F401
+from tidemark.operators import facts, intervals, recipes, tree
+from tidemark.plans import detail_queries, item_queries, scale_queries  # noqa: F401
+from tidemark.plans import queries as plan_queries
 from tidemark.sources.work import Scratch
 
 
@@ -56,3 +59,20 @@ def test_allocated_days_travel_as_blocks(spark, tmp_path, monkeypatch):
         plan = plan_queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         exchanges = [line.partition("Exchange hashpartitioning(")[2] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
         assert exchanges and not [x for x in exchanges if "alloc_date" in x or "period" in x or "_groupingexpression" in x]
+
+
+def test_range_totals_write_no_pairs(spark, tmp_path):
+    """All 300 ranges hold most of the 2,000 points; as pairs they were 600,000 rows."""
+    points = spark.range(-500, 1500).selectExpr("id AS p").unionByName(spark.createDataFrame([(None,), (7,)], "p long"))
+    ranges = spark.range(300).selectExpr("id AS k", "id % 7 - 600 AS lo", "IF(id % 50 = 3, -700, 1400 + id) AS hi")
+    kept = Scratch(spark)
+    totals = {"n": ("k", "count"), "least": ("k", "min"), "most": ("k", "max"), "all": ("k", "sum")}
+    got = intervals.range_totals(points, ranges, "p", "lo", "hi", totals, scratch=kept)
+    plain = {}
+    held_by = [(k, k % 7 - 600, -700 if k % 50 == 3 else 1400 + k) for k in range(300)]
+    for p in range(-500, 1500):
+        ks = [k for k, lo, hi in held_by if lo <= p <= hi]
+        plain[p] = (len(ks), min(ks, default=None), max(ks, default=None), sum(ks) if ks else None)
+    rows = got.collect()
+    assert len(rows) == 2002 and all((r["n"], r["least"], r["most"], r["all"]) == plain.get(r["p"], (0, None, None, None)) for r in rows)
+    assert sum(spark.read.parquet(f"{kept.root}/{i}").count() for i in range(1, kept.n + 1)) < 10_000

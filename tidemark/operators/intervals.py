@@ -80,6 +80,46 @@ def join_ranges(points: DataFrame, intervals: DataFrame, point: str, low: str, h
     return points.withColumn("_at", at).join(met, "_at", how).select(*[F.col(f"`{c}`") for c in [*points.columns, *intervals.columns]])
 
 
+def range_totals(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, values: dict[str, tuple[str, str]], low_levels: int = 6, scratch: Scratch | None = None) -> DataFrame:
+    """Points, whole numbers, with totals over the intervals [low, high] that hold them: for each named value (column; min, max,
+    sum or count), as an aggregation of ``join_ranges`` would give, without its pairs of a point and an interval.
+
+    Intervals are first totalled by cell of their dyadic covers; a point adds up its cells, one a level. Cells of the levels
+    from ``low_levels`` on are added up once for all points of a block of 2^low_levels numbers. So rows grow with points and
+    intervals, not with how many intervals hold a point. Points that none holds have count 0, other totals null.
+    """
+    if strange := {k for _, k in values.values()} - {"min", "max", "sum", "count"}:
+        raise ValueError(f"unknown aggregates {sorted(strange)}")
+    if clash := {c.lower() for c in points.columns} & {n.lower() for n in values}:
+        raise ValueError(f"columns exist already: {sorted(clash)}")
+    scratch = scratch or Scratch(points.sparkSession)
+    over = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
+    names = [f"_v{i}" for i in range(len(values))]
+    kinds = [k for _, k in values.values()]
+    merged = [over[k](n).alias(n) for n, k in zip(names, kinds, strict=True)]
+    own = [(F.count if k == "count" else over[k])(c).alias(n) for n, (c, k) in zip(names, values.values(), strict=True)]
+    used = list(dict.fromkeys(c for c, _ in values.values()))
+    cells = intervals.select(*used, F.explode(dyadic_cover(F.col(low), F.col(high))).alias("_c"))
+    totals = scratch.keep(cells.groupBy(F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell")).agg(*own))
+    levels = sorted(r[0] for r in totals.select("_level").distinct().collect())  # 64 at most
+
+    def asked(rows: DataFrame, column: str, begin: int, chosen: list[int]) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(j).alias("level"), F.shiftright(F.col(column), j - begin).alias("cell")) for j in chosen]) if chosen else F.array().cast("array<struct<level:int,cell:bigint>>")
+        listed = rows.select(column, F.explode(each).alias("_p")).select(column, F.col("_p.level").alias("_level"), F.col("_p.cell").alias("_cell"))
+        return listed.join(totals, ["_level", "_cell"]).select(column, *names)
+
+    at = F.col(point).cast("long")
+    once = points.select(at.alias("_at")).where("_at is not null").distinct()
+    block = F.shiftright(F.col("_at"), low_levels)
+    wide = asked(once.select(block.alias("_block")).distinct(), "_block", low_levels, [j for j in levels if j >= low_levels])
+    wide = scratch.keep(wide.groupBy("_block").agg(*merged))
+    near = asked(once, "_at", 0, [j for j in levels if j < low_levels])
+    far = once.withColumn("_block", block).join(wide, "_block").select("_at", *names)
+    met = near.unionByName(far).groupBy("_at").agg(*merged)
+    out = [(F.coalesce(n, F.lit(0)) if k == "count" else F.col(n)).alias(name) for n, k, name in zip(names, kinds, values, strict=True)]
+    return points.withColumn("_at", at).join(met, "_at", "left").select(*[F.col(f"`{c}`") for c in points.columns], *out)
+
+
 def as_of_slices(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, valid_from: str, columns: list[str], slices: int | None = None) -> DataFrame:
     """``as_of_join`` for histories of any length: a key that holds a large share of all rows is spread over slices of its
     time, and what a slice last knew is carried into the next. Versions with equal starts: the last in column order."""

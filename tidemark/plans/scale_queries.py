@@ -98,8 +98,9 @@ def mixed_ranges(spark, sf):
     k = F.col("s_suppkey")
     length = F.when(k % 50 == 0, 1_000_000).otherwise(F.element_at(F.array(*[F.lit(10**i) for i in range(5)]), (k % 5 + 1).cast("int")))
     ranges = _t(spark, sf, "supplier").select(k, (k * 13).alias("lo"), (k * 13 + length - 1).alias("hi"))
-    rows = intervals.join_ranges(_t(spark, sf, "orders").select("o_orderkey"), ranges, "o_orderkey", "lo", "hi")
-    return rows.groupBy("o_orderkey").agg(F.count("s_suppkey").alias("n"), F.max("s_suppkey").alias("last"))
+    totals = {"n": ("s_suppkey", "count"), "last": ("s_suppkey", "max")}
+    rows = intervals.range_totals(_t(spark, sf, "orders").select("o_orderkey"), ranges, "o_orderkey", "lo", "hi", totals)
+    return rows.groupBy("o_orderkey").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
 
 _HOT = "CASE WHEN event_id % 2 = 0 THEN 0 ELSE user_id END"
