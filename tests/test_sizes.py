@@ -76,3 +76,20 @@ def test_range_totals_write_no_pairs(spark, tmp_path):
     rows = got.collect()
     assert len(rows) == 2002 and all((r["n"], r["least"], r["most"], r["all"]) == plain.get(r["p"], (0, None, None, None)) for r in rows)
     assert sum(spark.read.parquet(f"{kept.root}/{i}").count() for i in range(1, kept.n + 1)) < 10_000
+
+
+def _odd_lines(folder):
+    duckdb.sql(f"COPY (SELECT i // 5 AS l_orderkey, i * i % 23 AS l_partkey, i % 7 AS l_suppkey, (1 + i % 4)::INTEGER AS l_linenumber, (i % 3)::DOUBLE AS l_quantity, substr('ARN', 1 + (i % 3)::INTEGER, 1) AS l_returnflag, TIMESTAMP '2024-01-28 08:00:00' + INTERVAL (i) DAY AS l_shipdate FROM range(400) t(i)) TO '{folder}/lineitem.parquet' (FORMAT parquet)")
+    duckdb.sql(f"COPY (SELECT i AS p_partkey FROM range(30) t(i)) TO '{folder}/part.parquet' (FORMAT parquet)")
+
+
+def _exchanges(spark, folder, name):
+    plan = plan_queries.QUERIES[name](spark, str(folder))._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_worklog_rows_travel_once(spark, tmp_path, monkeypatch):
+    _odd_lines(tmp_path)
+    monkeypatch.setattr(recipes, "partitions", lambda df: 3)
+    assert held(spark, tmp_path, "worklog_fact")
+    assert not [x for x in _exchanges(spark, tmp_path, "worklog_fact") if "l_orderkey" in x.partition("Exchange hashpartitioning(")[2]]

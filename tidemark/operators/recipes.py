@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import facts
 from tidemark.operators.intervals import join_points
 from tidemark.operators.tree import enrich, rollup_dates_by_path
+from tidemark.sources.work import partitions
 
 #: Priority bands by keyword, first fit wins: words contained, prefix, sort order, band, band order.
 BANDS = [(("highest", "critical"), "p1", 1, "Critical", 1), (("high",), "p2", 2, "High", 2), (("medium",), "p3", 3, "Medium", 3), (("lowest",), "p5", 5, "Low", 4), (("low",), "p4", 4, "Low", 4)]
@@ -156,8 +157,11 @@ def run_fact(runs: DataFrame, test: str, statuses: DataFrame) -> DataFrame:
 
 
 def worklog_fact(logs: DataFrame, allocations: DataFrame) -> DataFrame:
-    """Distinct log rows with the author's role on the item, or Other, and hours."""
-    return logs.distinct().join(allocations.select("resource", "item", "role"), ["resource", "item"], "left").withColumns({"role": F.coalesce("role", F.lit("other")), "hours": F.col("seconds") / 3600.0})
+    """Distinct log rows with the author's role on the item, or Other, and hours. One exchange of each side, into partitions
+    by row counts: what a task sorts doesn't grow with the tables."""
+    pair, n = ["resource", "item"], partitions(logs)
+    roles = allocations.select(*pair, "role").repartition(n, *pair)
+    return logs.repartition(n, *pair).distinct().join(roles, pair, "left").withColumns({"role": F.coalesce("role", F.lit("other")), "hours": F.col("seconds") / 3600.0})
 
 
 def pivot_values(df: DataFrame, keys: list[str], place: str, value: str, names: dict[object, str]) -> DataFrame:
