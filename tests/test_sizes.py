@@ -93,3 +93,12 @@ def test_worklog_rows_travel_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(recipes, "partitions", lambda df: 3)
     assert held(spark, tmp_path, "worklog_fact")
     assert not [x for x in _exchanges(spark, tmp_path, "worklog_fact") if "l_orderkey" in x.partition("Exchange hashpartitioning(")[2]]
+
+
+@pytest.mark.parametrize("name", ["link_bridge", "link_statuses", "link_table"])
+def test_links_pair_lines_once(spark, tmp_path, monkeypatch, name):
+    """Repeated line numbers included; lines are read and joined once, whatever reads the pairs after that."""
+    _odd_lines(tmp_path)
+    monkeypatch.setattr(facts, "partitions", lambda df: 3)
+    assert held(spark, tmp_path, name)
+    assert not re.search(r"l_linenumber#\d+ \+ 1", plan_queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString())

@@ -9,9 +9,9 @@ from tidemark.functions.keys import add_parent_key
 from tidemark.operators import calendar, facts, recipes, semi, tree, variants
 from tidemark.operators.semi import ExplodeSpec, Mapping
 from tidemark.plans import metrics
-from tidemark.plans.queries import _HEAP, _LINKS, _bridge, _heap, _query, _sql_guid, _t, allocation_roles
+from tidemark.plans.queries import _HEAP, _LINKS, _bridge, _heap, _pairs, _query, _sql_guid, _t, allocation_roles
 from tidemark.sources import landing, sinks
-from tidemark.sources.work import Scratch
+from tidemark.sources.work import Scratch, partitions
 from tidemark.streaming.landing import windowed_counts
 
 _THIRD = "o_orderkey % 3 = 0"
@@ -65,7 +65,8 @@ def link_statuses(spark, sf):
     runs = lines.select(part.alias("test"), F.expr(_TRACKED).alias("status_name"), F.col("l_shipdate").alias("started_on"), F.lit(None).cast("timestamp").alias("finished_on"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("run_id"))
     named = lines.where("l_returnflag in ('A', 'R')").select(F.when(F.col("l_returnflag") == "A", "PASSED").otherwise("BLOCKED").alias("name"), F.lit("used").alias("description"))
     statuses = recipes.test_status_dimension(named, "name", "description")
-    out = facts.with_test_statuses(_bridge(spark, sf), runs, statuses, "item", "test")
+    pairs = _pairs(spark, sf)
+    out = facts.with_test_statuses(_bridge(spark, sf, pairs), runs, statuses, "item", "test", 2 * partitions(pairs))
     return out.select("item", "linked", "link_type", "direction", "linked_status", "item_status", "has_blocker", "lacks_blocker")
 
 
