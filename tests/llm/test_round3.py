@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, fill_middle, media, queries, repeated_spans, whitening
+from tidemark.llm import embedding_dedup, fill_middle, media, packing, queries, repeated_spans, whitening
 
 SF = "/root/testdata/sf0.001"
 LONG = "é😀a\n" * 60_000
@@ -269,3 +270,41 @@ def test_digests_are_those_of_the_padded_texts(spark):
         want.append((i, len(b), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-16:]), len(stored), hashlib.sha256(stored).hexdigest()))
     got = media.media_digest(media.text_media(frame)).collect()
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)[:7]) for r in got)
+
+
+def test_words_in_use_go_to_the_library_once(monkeypatch):
+    """A full cache drops no word that texts keep using; before, it kept only those of the texts at hand."""
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    lib = packing._tokenizer(path)
+
+    class Counted:
+        sent = 0
+
+        def __getattr__(self, name):
+            return getattr(lib, name)
+
+        def encode(self, text, **kw):
+            Counted.sent += text.count("xqz")
+            return lib.encode(text, **kw)
+
+        def encode_batch_fast(self, texts, **kw):
+            Counted.sent += sum(t.count("xqz") for t in texts)
+            return lib.encode_batch_fast(texts, **kw)
+
+    monkeypatch.setitem(packing._TOKENIZERS, path, Counted())
+    letters = str.maketrans("0123456789", "abcdefghij")
+    common = [f"xqz{i}".translate(letters) for i in range(5000)]
+    for batch in range(11):
+        words = [f"yw{batch * 60_000 + i}".translate(letters) for i in range(60_000)] + common * (batch % 2 == 0)
+        packing.encode_texts([" ".join(words)], path)
+    assert Counted.sent == len(common)
+
+
+def test_ids_equal_the_library_whatever_surrounds_plain_words():
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    lib, rng = packing._tokenizer(path), random.Random(9)
+    odd = ["".join(rng.choice("abSÉéßÀ×÷'ſtLlvE19!?. \t\n\x0b\x0c\r\x85\xa0́“漢😀İ") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    plain = ["".join(rng.choice("abSÉéßÀ×÷'tLlvrEmd19!?. \t\n\x0b\x0c\r") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    texts = [*odd, *plain, "", " ", "''s'S'LL", "<|endoftext|>a <|", "a\x1cb", "É" * 300 + " x“" + "a" * 300, "W" * 5000]
+    for part in (texts, texts[::-1]):
+        assert packing.encode_texts(part, path) == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]

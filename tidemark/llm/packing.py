@@ -26,16 +26,16 @@ from .batches import handing_back
 from ..sources.work import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_WORDS: dict[str, dict[str, bytes]] = {}
-_PARTS: dict[str, dict[str, bytes]] = {}
+#: Ids by key, of late and of before; keys are parts of plain words, and other words whole.
+_KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 _TOKENIZERS: dict[str, object] = {}
 _ENDS: dict[str, np.ndarray] = {}
 #: Python's split() also takes these for white space; the tokenizer's pattern does not. Special strings span words.
 _SEPARATORS, _SPECIAL = "\x1c\x1d\x1e\x1f", re.compile("<\\|startoftext\\|>|<\\|endoftext\\|>")
-#: Words of these characters alone are lower-cased and cut here as the vocabulary's own rule does; others go to the library.
-_PLAIN = re.compile("[!-~À-ÿ]+")
-_CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+")
-_CACHED_WORDS, _CACHED_PARTS, _LONGEST_CACHED, _TEXTS_AT_ONCE = 200_000, 250_000, 64, 512
+#: Texts of these characters alone are lower-cased and cut here as the vocabulary's own rule does; of others, words of them.
+_PLAIN = re.compile("[\t-\r -~À-ÿ]*")
+_CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß \t-\r]+")
+_CACHED, _LONGEST_CACHED, _TEXTS_AT_ONCE, _KEYS_AT_ONCE = 150_000, 64, 512, 64
 
 
 def _tokenizer(path: str):
@@ -61,58 +61,60 @@ def _ends(path: str) -> np.ndarray:
     return _ENDS[path]
 
 
-def _keep(known: dict[str, bytes], now: set[str]) -> None:
-    """A full cache keeps what the texts at hand use, common words among it, and drops the rest."""
-    kept = {w: known[w] for w in now if w in known}
-    known.clear()
-    known.update(kept)
-
-
-def _word_ids(words: list[str], path: str) -> dict[str, bytes]:
-    """Each distinct word's ids. Plain words are cut into parts first: fewer differ, and new ones go to the library in one text."""
-    tokenizer, known = _tokenizer(path), _PARTS.setdefault(path, {})
-    cut = {w: _CUT.findall(w.lower()) for w in words if _PLAIN.fullmatch(w)}
-    new = list(set().union(*cut.values()).difference(known)) if cut else []
-    if len(known) + len(new) > _CACHED_PARTS:
-        _keep(known, set().union(*cut.values()))
-    if new:
-        ids = np.array(tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        stops = (np.flatnonzero(_ends(path)[ids]) + 1).tolist()
-        data, start = ids.tobytes(), 0
-        for part, stop in zip(new, stops, strict=True):
-            known[part] = data[4 * start : 4 * stop]
-            start = stop
-    out = {w: b"".join(map(known.__getitem__, parts)) for w, parts in cut.items()}
-    for part in new:
-        if len(part) > _LONGEST_CACHED:
-            del known[part]
-    other = [w for w in words if w not in out]
-    out.update(zip(other, _ids(tokenizer, other), strict=True))
+def _new_ids(keys: list[str], path: str) -> dict[str, bytes]:
+    """Each distinct key's ids from the library; parts of plain words go there many in one text."""
+    tokenizer = _tokenizer(path)
+    parts, words = [], []
+    for k in keys:
+        (parts if _PLAIN.fullmatch(k) else words).append(k)
+    texts = [" ".join(parts[i : i + _KEYS_AT_ONCE]) for i in range(0, len(parts), _KEYS_AT_ONCE)]
+    data = b"".join(_ids(tokenizer, texts))
+    stops = ((np.flatnonzero(_ends(path)[np.frombuffer(data, "<u4")]) + 1) * 4).tolist()
+    out = {k: data[start:stop] for k, start, stop in zip(parts, [0, *stops[:-1]], stops, strict=True)} if parts else {}
+    out.update(zip(words, _ids(tokenizer, words), strict=True))
+    return out
+
+
+def _keys(text: str, seen: dict[str, list[str]]) -> list[str]:
+    """What the text is encoded by, in order. seen: the keys of words met before, for texts that aren't plain."""
+    if _PLAIN.fullmatch(text):
+        return _CUT.findall(text.lower())
+    out: list[str] = []
+    for w in text.split():
+        if w not in seen:
+            seen[w] = _CUT.findall(w.lower()) if _PLAIN.fullmatch(w) else [w]
+        out += seen[w]
     return out
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers, exactly as the library gives them.
 
-    For a vocabulary that drops white space and never joins across it, a text's ids are its words' ids one after another;
-    so each distinct word is encoded once and kept. Texts with special strings go to the library whole.
+    For a vocabulary that drops white space and never joins across it, a text's ids are its words' ids one after another,
+    and a plain word's ids those of its parts; so each distinct part is encoded once and kept while it is in use: a full
+    cache becomes the older one, from which only what is met again comes back. Texts with special strings go to the
+    library whole.
     """
-    tokenizer, known = _tokenizer(path), _WORDS.setdefault(path, {})
+    tokenizer, (known, older) = _tokenizer(path), _KNOWN.setdefault(path, ({}, {}))
     out: list[bytes] = [b""] * len(texts)
     whole = [i for i, t in enumerate(texts) if any(c in t for c in _SEPARATORS) or ("<|" in t and _SPECIAL.search(t))]
     for i, ids in zip(whole, _ids(tokenizer, [texts[i] for i in whole]), strict=True):
         out[i] = ids
-    skip = set(whole)
-    split = [(i, t.split()) for i, t in enumerate(texts) if i not in skip]
-    new = list(set().union(*(w for _, w in split)).difference(known)) if split else []
-    if len(known) + len(new) > _CACHED_WORDS:
-        _keep(known, set().union(*(w for _, w in split)))
-    known.update(_word_ids(new, path))
-    for i, words in split:
-        out[i] = b"".join(map(known.__getitem__, words))
-    for w in new:
-        if len(w) > _LONGEST_CACHED:
-            del known[w]
+    skip, seen = set(whole), {}
+    cut = [(i, _keys(t, seen)) for i, t in enumerate(texts) if i not in skip]
+    new = set().union(*(k for _, k in cut)).difference(known)
+    if len(known) + len(new) > _CACHED:
+        known, older = _KNOWN[path] = {}, known
+        new = set().union(*(k for _, k in cut))
+    back = [k for k in new if k in older]
+    known.update((k, older[k]) for k in back)
+    new = list(new.difference(back))
+    known.update(_new_ids(new, path))
+    for i, keys in cut:
+        out[i] = b"".join(map(known.__getitem__, keys))
+    for k in new:
+        if len(k) > _LONGEST_CACHED:
+            del known[k]
     return out
 
 
