@@ -389,6 +389,35 @@ def test_deep_rollup(spark, kind):
     assert sum(t.count() for t in made.tables) < 16 * n
 
 
+@pytest.mark.parametrize("near", [True, False])
+@pytest.mark.parametrize("block_rows", [0, 23, 1000])
+def test_deep_rollup_by_blocks(spark, near, block_rows):
+    rng = random.Random(8)
+    key = (lambda i: i) if near else (lambda i: i * 7919 % 100_003)
+    data = [(key(i), None if i == 0 or rng.random() < 0.01 else key(max(0, i - rng.choice([1, 1, 1, 2, 3, 40]))), None if rng.random() < 0.6 else rng.randint(-50, 50)) for i in range(400)] + [(900_000, 77_777_777, 3)]
+    df = spark.createDataFrame(data, "id long, p long, v long")
+    values = {"lo": ("v", "min"), "hi": ("v", "max"), "t": ("v", "sum")}
+    got = deep_tree.deep_rollup(df, "id", "p", values, small=5, block_rows=block_rows)
+    assert {r["id"]: (r["lo"], r["hi"], r["t"], r["depth"], r["root"]) for r in got.collect()} == rolled_plainly(data)
+
+
+def test_a_chain_of_neighbouring_keys_takes_no_rounds(spark):
+    """6,000 nodes in 20 blocks: what blocks leave is finished in the driver; before, 15 rounds or more of four tables each."""
+    data = [(i, i - 1 - i % 2 if i > 1 else 0 if i else None, i % 10) for i in range(6000)]
+    made = deep_tree._Contraction(spark.createDataFrame(data, "id long, p long, v long"), "id", "p", {"t": ("v", "sum")}, 100, 200)
+    made.block_rows = 300
+    assert made.run().agg({"depth": "max"}).collect()[0][0] == max(r[3] for r in rolled_plainly(data).values())
+    assert len(made.tables) <= 6
+
+
+def test_cycles_over_blocks_are_named(spark):
+    loop = [(i, (i + 1) % 90) for i in range(90)] + [(100 + i, i % 90) for i in range(40)] + [(1000, None), (1001, 1000)]
+    for block_rows in (10, 1000):
+        with pytest.raises(ValueError, match="cycle, of") as e:
+            deep_tree.deep_rollup(spark.createDataFrame(loop, "id long, p long"), "id", "p", {}, small=1, block_rows=block_rows)
+        assert all(0 <= int(x) < 90 for x in str(e.value).split("[")[1].rstrip("]").split(", "))
+
+
 def test_deep_rollup_of_odd_tables(spark):
     make = lambda data: spark.createDataFrame(data, "id long, p long")
     assert deep_tree.deep_rollup(make([]), "id", "p", {}).count() == 0
