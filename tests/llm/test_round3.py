@@ -1,13 +1,15 @@
 import hashlib
+import pickle
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, fill_middle, media, packing, queries, repeated_spans, whitening
+from tidemark.llm import batches, embedding_dedup, fill_middle, media, packing, queries, repeated_spans, toxicity, whitening
 
 SF = "/root/testdata/sf0.001"
 LONG = "é😀a\n" * 60_000
@@ -308,3 +310,26 @@ def test_ids_equal_the_library_whatever_surrounds_plain_words():
     texts = [*odd, *plain, "", " ", "''s'S'LL", "<|endoftext|>a <|", "a\x1cb", "É" * 300 + " x“" + "a" * 300, "W" * 5000]
     for part in (texts, texts[::-1]):
         assert packing.encode_texts(part, path) == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+
+
+def test_other_operators_tasks_drop_word_caches():
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    own = batches.handing_back(lambda texts: (packing.encode_texts(t, path) for t in texts), "packing")
+    assert [len(x) for x in own(iter([["a b"], ["c"]]))] == [1, 1] and packing._KNOWN and packing._TOKENIZERS
+    assert list(own(iter([]))) == [] and packing._KNOWN
+    assert list(batches.handing_back(lambda numbers: numbers)(iter([1, 2]))) == [1, 2]
+    assert not packing._KNOWN and not packing._TOKENIZERS and not packing._ENDS
+
+
+def test_reading_an_index_holds_one_copy_of_its_shares():
+    rng = np.random.default_rng(3)
+    terms = np.arange(200_000), rng.random(200_000) + 1
+    rows = [(i, i % 2, (np.sort(rng.choice(200_000, 4000, replace=False)).astype(np.int32), rng.integers(1, 9, 4000).astype(np.int32))) for i in range(200)]
+    index = toxicity.ToxicIndex(terms, rows, (100.0, 100.0))
+    assert (index.share == index.log[index.tf] * np.repeat(index.idf, np.diff(index.start)) / index.norm[index.example]).all()
+    data = pickle.dumps(index)
+    tracemalloc.start()
+    again = pickle.loads(data)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (again.share == index.share).all() and most < held + len(index.share) * 8

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import handing_back
+from .batches import caches, handing_back
 from ..sources.work import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -30,12 +30,13 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 _TOKENIZERS: dict[str, object] = {}
 _ENDS: dict[str, np.ndarray] = {}
+caches("packing", _KNOWN, _TOKENIZERS, _ENDS)
 #: Python's split() also takes these for white space; the tokenizer's pattern does not. Special strings span words.
 _SEPARATORS, _SPECIAL = "\x1c\x1d\x1e\x1f", re.compile("<\\|startoftext\\|>|<\\|endoftext\\|>")
 #: Texts of these characters alone are lower-cased and cut here as the vocabulary's own rule does; of others, words of them.
 _PLAIN = re.compile("[\t-\r -~À-ÿ]*")
 _CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß \t-\r]+")
-_CACHED, _LONGEST_CACHED, _TEXTS_AT_ONCE, _KEYS_AT_ONCE = 150_000, 64, 512, 64
+_CACHED, _LONGEST_CACHED, _TEXTS_AT_ONCE, _KEYS_AT_ONCE = 150_000, 64, 256, 64
 
 
 def _tokenizer(path: str):
@@ -138,7 +139,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = 2048, end_id: int =
                 yield made
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(handing_back(cut), PIECES)
+    return rows.mapInPandas(handing_back(cut, "packing"), PIECES)
 
 
 def place(lengths: np.ndarray, capacity: int, levels: int = 64) -> tuple[np.ndarray, np.ndarray]:

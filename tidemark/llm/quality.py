@@ -148,11 +148,14 @@ def quality_posterior(documents: DataFrame, model: EvidenceModel, host: str = "s
     short_batches(documents.sparkSession)
     scratch, c = Scratch(documents.sparkSession), free_prefix(documents)
 
-    @F.pandas_udf("double")
-    def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of_batches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series(model.evidence(s))
 
+    @F.pandas_udf("double")
+    def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from handing_back(of_batches)(texts)
+
     # or a later condition on the result would be pushed below the join, with an evaluation of its own
     evidence = evidence.asNondeterministic()
 

@@ -161,7 +161,11 @@ class ToxicIndex:
         self._fill()
 
     def _fill(self) -> None:
-        self.share = self.log[self.tf] * np.repeat(self.idf, np.diff(self.start)) / self.norm[self.example]
+        self.share = np.empty(len(self.tf))
+        for t in range(0, len(self.terms), 20_000):  # or a worker holds several such arrays while it reads the index
+            cut = self.start[t : t + 20_001]
+            here = slice(int(cut[0]), int(cut[-1]))
+            self.share[here] = self.log[self.tf[here]] * np.repeat(self.idf[t : t + 20_000], np.diff(cut)) / self.norm[self.example[here]]
         self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, self.n_blocks * self.block))
         for s in range(0, len(self.often[0]), 100_000):
             term, tf, example = (x[s : s + 100_000] for x in self.often)
@@ -366,12 +370,15 @@ def toxicity(documents: DataFrame, index: ToxicIndex) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf("struct<score:double,ids:array<long>>")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def of_batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
             out = shared.value.scores([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"score": [x[0] for x in out], "ids": [x[1] for x in out]})
 
+    @F.pandas_udf("struct<score:double,ids:array<long>>")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from handing_back(of_batches)(texts)
+
     scored = scored.asNondeterministic()  # or conditions on the score could evaluate it twice
     short_batches(documents.sparkSession)
     p = free_prefix(documents)
