@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import batches, embedding_dedup, fill_middle, media, packing, queries, repeated_spans, toxicity, whitening
+from tidemark.llm import batches, embedding_dedup, fill_middle, jaccard_join, media, packing, queries, repeated_spans, toxicity, whitening
+from tidemark.sources.work import Scratch
 
 SF = "/root/testdata/sf0.001"
 LONG = "é😀a\n" * 60_000
@@ -333,3 +334,52 @@ def test_reading_an_index_holds_one_copy_of_its_shares():
     held, most = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert (again.share == index.share).all() and most < held + len(index.share) * 8
+
+
+def test_similar_sets_share_as_many_signatures_as_promised():
+    rng = np.random.default_rng(4)
+    for num, parts, spared in ((80, 3, 1), (90, 3, 1), (90, 4, 2)):
+        sign = jaccard_join.PartEnum(num, 100, parts, spared)
+        for n in (1, 2, 4, 9, 10, 30, 100, 290, 400, 1110, 3000):
+            a = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+            groups = sign.groups(sign.band(n))[0]
+            cell = ((jaccard_join._mix(a.view(np.uint64) ^ jaccard_join._GOLD) >> np.uint64(32)) * np.uint64(groups * parts) >> np.uint64(32)).astype(int)
+            one_a_cell = np.unique(cell, return_index=True)[1]  # the differences that spoil most groups come first
+            for lost in (one_a_cell, one_a_cell[np.argsort(rng.random(len(one_a_cell)))], one_a_cell[np.argsort(cell[one_a_cell] % parts, kind="stable")]):
+                for few in (n * (100 - num) // 100, n * (100 - num) // 200, 1):
+                    b = np.delete(a, lost[:few])
+                    if 100 * len(b) < num * n or not len(b):
+                        continue
+                    (kept_a, least_a), (kept_b, least_b) = sign.shares(len(a)), sign.shares(len(b))
+                    promised = max(kept_a, kept_b) - sign.differences(len(a) + len(b))
+                    if len(b) < len(a):
+                        assert len(np.intersect1d(sign.signatures(a), sign.signatures(b))) >= promised >= max(least_a, least_b) >= 1
+
+
+def _passages(n: int) -> list[tuple[int, str]]:
+    """``n`` unlike texts that have a sixth of their words in common, and one near copy of every tenth."""
+    rng = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(200))
+    own = [[f"w{d}x{i}" for i in range(1000 + d % 7)] for d in range(n)]
+    texts = [f"{common} {' '.join(words)}" for words in own]
+    for d in range(0, n, 10):
+        at = sorted(rng.sample(range(len(own[d])), 18))
+        texts.append(f"{common} {' '.join(w if i not in at else 'y' + w for i, w in enumerate(own[d]))}")
+    return list(enumerate(texts))
+
+
+def test_a_passage_that_unlike_texts_share_makes_no_pairs(spark, monkeypatch):
+    write, met = Scratch.write, []
+
+    def spied(self, df):
+        path = write(self, df)
+        if "few" in df.columns:
+            x, y = (self.spark.read.parquet(path).select("sig", "rid", "comp", "few").withColumnsRenamed({"rid": f"{k}r", "comp": f"{k}c", "few": f"{k}f"}) for k in "xy")
+            met.append(x.where("xf").join(y, "sig").where("xc <> yc and (not yf or xr < yr)").count())
+        return path
+
+    monkeypatch.setattr(Scratch, "write", spied)
+    rows = _passages(200)
+    got = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: d if d < 200 else (d - 200) * 10 for d, _ in rows}
+    assert len(met) == 1 and met[0] < 1000

@@ -4,12 +4,15 @@ Sets of a size band can differ in at most k elements if their Jaccard similarity
 shingles is partitioned by a hash into groups, each group into ``parts`` parts; a signature is a set's projection on a
 subset of ``parts - spared`` parts of one group. If k differences fall on more groups than they can spoil, similar sets
 share a signature. Spare groups let sets leave out the signatures of empty projections, which all sets would share. Larger sets get
-one more group for each 16 needed: similar ones then share that many signatures more, and pairs that share fewer are not.
+one more group for each 16 needed. A group with j differences keeps at least spared + 1 - j signatures, so similar sets share
+at least (spared + 1) x groups - differences: many, as most pairs are smaller than the largest of their band.
 
 Copies (equal shingle sets) become one set first. Candidates are then verified exactly, in two steps that both lose no
 class: sets that share a signature are chained in an order dealt by hash, a link a set and signature instead of all
 pairs; then, only where a signature still joins several components, every set outside the signature's largest component
-is compared with all sets of the others. Pairs inside one component need no comparison.
+is compared with all sets of the others. Pairs inside one component need no comparison. There a set that shares t signatures
+with any similar one leaves out its t - 1 most frequent: of t in common, the rarest is left out by neither. So signatures
+that many unlike sets have by chance or by a common passage make no pairs.
 
 Before shingles are fetched, pairs are screened by 1,024 parity bits of each set: two sets' bits differ in no more places
 than the sets differ in elements, so a pair with more differing bits than its sizes allow is not similar. Large sets, whose
@@ -226,6 +229,24 @@ class PartEnum:
         spare = int(np.ceil(need * len(self.subsets) * np.exp(-mean) * 2)) + 1 if most else 0
         return need + need // _MORE + spare, spare
 
+    def _kept(self, band: int) -> int:
+        """Signatures of this band that two similar sets share, the larger of this band, and their differences, at least."""
+        n, spare = self.groups(band)
+        return 1 if (n, spare) == (1, 0) else (self.spared + 1) * (n - spare)
+
+    def differences(self, total):
+        """In how many elements similar sets differ at most, whose sizes sum up to this."""
+        return (self.den - self.num) * total // (self.den + self.num)
+
+    def shares(self, size: int) -> tuple[int, int]:
+        """(``_kept`` of the set's own band, signatures that it shares with any similar set at least)."""
+        band, largest = self.band(size), size * self.den // self.num
+        kept = self._kept(band)
+        least = kept - self.differences(size + min(self.tops[band], largest))
+        if largest > self.tops[band]:
+            least = min(least, self._kept(band + 1) - self.differences(size + largest))
+        return kept, max(1, least)
+
     def least_shared(self, n):
         """Column: how many signatures two similar sets share at least, the larger of size n."""
         need = F.floor(F.floor(F.lit(2 * (self.den - self.num)) * n / F.lit(self.den + self.num)) / F.lit(self.spared + 1)) + 1
@@ -277,9 +298,10 @@ def _as_frame(rows: DataFrame, width: int, sign: PartEnum | None, wanted=None) -
                 if sign:
                     out[_SKETCH] = np.array([_parities(s) for s in sets])
                     out["counts"] = [_histogram(s) for s in sets]
+                    out[["kept", "least"]] = np.array([sign.shares(len(s)) for s in sets])
                 yield out
 
-    lanes = "".join(f", {k} long" for k in _SKETCH) + ", counts array<short>" if sign else ""
+    lanes = "".join(f", {k} long" for k in _SKETCH) + ", counts array<short>, kept long, least long" if sign else ""
     return rows.mapInPandas(handing_back(run), f"doc_id long, n long, rid long, text_key long, {column} array<long>{lanes}")
 
 
@@ -374,7 +396,7 @@ def _signed(rows: DataFrame, width: int, sign: PartEnum, scratch: Scratch) -> tu
     signed = scratch.spark.read.parquet(signed_path)
     some = signed.where("n > 0")
     sets = scratch.keep(some.groupBy("rid").agg(F.min("doc_id").alias("lo")))
-    sketches = scratch.keep(some.select("rid", "n", *_SKETCH, "counts").dropDuplicates(["rid"]))
+    sketches = scratch.keep(some.select("rid", "n", *_SKETCH, "counts", "kept", "least").dropDuplicates(["rid"]))
     every = scratch.keep(signed.select("doc_id", "n", "rid", "text_key"))
     partitions = 4 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     met = _packed(some.select("rid", "sigs"), 4 * partitions).repartition(partitions, "bucket").select("bucket", F.explode(F.arrays_zip("sigs", "rids")).alias("x"))
@@ -387,25 +409,28 @@ def _signed(rows: DataFrame, width: int, sign: PartEnum, scratch: Scratch) -> tu
     return sets, sketches, every, shared_path
 
 
-def _across(shared_path: str, comp: DataFrame, short: DataFrame, sign: PartEnum, num: int, den: int, scratch: Scratch) -> DataFrame:
+def _across(shared_path: str, comp: DataFrame, short: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Pairs of sets that share enough signatures, may be similar and lie in different components: of each signature, all sets
-    outside its largest component against the others."""
+    outside its largest component against the others. Each set leaves out its most frequent signatures, one fewer than it
+    must share; a pair's common ones are then fewer by one less than the larger of both numbers at most."""
     shared = scratch.spark.read.parquet(shared_path)
     tagged_path = scratch.write(shared.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").select("sig", "rid", F.coalesce("comp", "rid").alias("comp")))
     tagged = scratch.spark.read.parquet(tagged_path)
     scratch.drop(shared_path)
     sizes = tagged.groupBy("sig", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c")).where("c > 1").select("sig", F.col("m.comp").alias("main"))
-    mixed = tagged.join(main, "sig").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"))
-    mixed_path = scratch.write(mixed.join(short, "rid"))
+    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("c"), F.sum("n").alias("often")).where("c > 1").select("sig", F.col("m.comp").alias("main"), "often")
+    mixed = tagged.join(main, "sig").select("sig", "rid", "comp", (F.col("comp") != F.col("main")).alias("few"), "often").dropDuplicates(["sig", "rid"])
+    rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.desc("often"), "sig"))
+    mixed_path = scratch.write(mixed.withColumn("rank", rank).drop("often").join(short, "rid").where("rank >= least").drop("rank"))
     scratch.drop(tagged_path)
     mixed = scratch.spark.read.parquet(mixed_path)
     meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_be_similar("x", "y", num, den, _FOLDED)
     once = ~F.col("y.few") | (F.col("x.rid") < F.col("y.rid"))
     cross = mixed.where("few").alias("x").join(mixed.alias("y"), meet & once)
-    cross = cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"), F.greatest("x.n", "y.n").alias("n"))
-    cross = cross.groupBy("a", "b", "n").agg(F.count("*").alias("met"))
-    cross = scratch.keep(cross.where(F.col("met") >= sign.least_shared(F.col("n"))).select("a", "b"))
+    cross = cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"), (F.col("x.n") + F.col("y.n")).alias("n"), F.greatest("x.kept", "y.kept").alias("kept"), F.greatest("x.least", "y.least").alias("least"))
+    cross = cross.groupBy("a", "b", "n", "kept", "least").agg(F.count("*").alias("met"))
+    enough = F.col("kept") - F.floor(F.lit(den - num) * F.col("n") / F.lit(den + num)) - F.col("least") + 1
+    cross = scratch.keep(cross.where(F.col("met") >= enough).select("a", "b"))
     scratch.drop(mixed_path)
     return cross
 
@@ -426,7 +451,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     shared = documents.sparkSession.read.parquet(shared_path)
     ends = shared.where("prev <> rid").select(F.least("rid", "prev").alias("a"), F.greatest("rid", "prev").alias("b"))
     pairs = scratch.keep(ends.groupBy("a", "b").agg(F.count("*").alias("met")))
-    short = sketches.select("rid", "n", *[_folded(i) for i in range(len(_FOLDED))])
+    short = sketches.select("rid", "n", "kept", "least", *[_folded(i) for i in range(len(_FOLDED))])
     near = pairs.join(short.alias("x"), F.col("a") == F.col("x.rid")).join(short.alias("y"), F.col("b") == F.col("y.rid"))
     # of large sets, pairs that are neighbours in few chains can wait for the second step
     near = near.where(_may_be_similar("x", "y", num, den, _FOLDED)).where(F.col("met") * 4 >= sign.least_shared(F.greatest("x.n", "y.n"))).select("a", "b")
@@ -441,7 +466,7 @@ def similar_documents(documents: DataFrame, width: int = 5, num: int = 80, den:
     more = _verified(rest, sets, rows, width, num, den, scratch)
     if not more.isEmpty():
         comp = scratch.keep(components(links.unionAll(more), scratch))
-    cross = _across(shared_path, comp, short, sign, num, den, scratch)
+    cross = _across(shared_path, comp, short, num, den, scratch)
     cross = _screened(cross, sketches, num, den).select("a", "b")
     cross = cross.join(near.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(cross, sets, rows, width, num, den, scratch)
